@@ -293,7 +293,7 @@ def without_repeats(docs: DataFrame, key: str, text: str, threshold: int = 100,
     if threshold < GRAM:
         raise ValueError(f"threshold must be at least {GRAM}")
     p = partitions(docs.sparkSession)
-    slots, parts = 4 * p, 4 * p
+    slots, parts = p, 2 * p
     k = F.coalesce(F.col(key).cast("long"), F.lit(NULL_KEY))
     th = F.xxhash64(F.col(key), F.col(text)).bitwiseAND(F.lit(0xFFFFFFFF))
     carried = [c for c in docs.columns if c != text]
