@@ -62,3 +62,13 @@ def n_words(text: Column | str) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def without(df: DataFrame, gone: DataFrame, on: list[str], most: int = 1_000_000) -> DataFrame:
+    """Rows of df that do not occur in gone; a small gone is sent to the rows, else both are shuffled. Nulls equal nulls."""
+    gone = materialise(gone.select(*[F.col(c).alias(f"__{c}") for c in on]).distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= most else gone
+    hit = F.lit(True)
+    for c in on:
+        hit = hit & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return df.join(gone, hit, "left_anti")

@@ -40,7 +40,8 @@ def extendible_shards(df: DataFrame, key: str, size: Column, limit_bytes: int) -
         paths = leaves.select("leaf", "b", "n", F.explode(F.sequence(F.lit(base), F.lit(top))).alias("d"))
         paths = paths.withColumn("node", F.expr(f"shiftright(leaf, {top} - d)"))
         over = paths.groupBy("d", "node").agg(F.sum("b").alias("nb"), F.sum("n").alias("nn"))
-        over = over.filter((F.col("nb") > limit_bytes) & (F.col("nn") > 1)).select("d", "node", F.lit(1).alias("o"))
+        over = materialise(over.filter((F.col("nb") > limit_bytes) & (F.col("nn") > 1)).select("d", "node", F.lit(1).alias("o")), "shard-over")
+        over = F.broadcast(over) if over.count() <= 1_000_000 else over  # all paths meet at the first bits: no shuffle by them
         depth = paths.join(over, ["d", "node"], "left").groupBy("leaf").agg((F.count("o") + base).cast("int").alias("depth"))
         depth = materialise(depth, "shard-depth")
         full = depth.filter(F.col("depth") > top)

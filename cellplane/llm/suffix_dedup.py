@@ -184,7 +184,7 @@ def first_digits(threshold: int, slots: int, parts: int, chunk: int = 4096):
             nth = np.arange(len(h)) - begin
             ask = (size > 1) | marked
             hot = (marked | (size > chunk)).astype(np.uint8)
-            to = (mix(h + ((nth // chunk).astype(np.uint64) << np.uint64(32)) + np.uint64(here) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % slots
+            to = (mix(h + ((nth // chunk).astype(np.uint64) << np.uint64(32)) + np.uint64(here * 0x9E3779B97F4A7C15 & MASK64)) >> np.uint64(33)).astype(np.int64) % slots
             by_slot(th[ask] % parts, REQUESTS, [x[ask] for x in (k, th, a, n, hot, to)], out)
         passed(got, out, parts)
         return as_table(out)

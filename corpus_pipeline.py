@@ -3,12 +3,66 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cellplane.llm.common import materialise
+from cellplane.llm.common import WORD, materialise, n_words, without
+from cellplane.llm.language_id import identify, page_evidence
+from cellplane.llm.mixing import balance
+from cellplane.llm.ngram_join import jaccard_components
+from cellplane.llm.packing import length_buckets
+from cellplane.llm.suffix_dedup import without_repeats
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-#: Stages 1, 2, 3 and 5 are beyond SQL; tests compare the pipeline with a plain one.
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known stay: rejected are those without letters and those of no sure language."""
+    docs = docs.select(*COLUMNS).withColumn("__hash", F.xxhash64("text"))
+    marked = docs.withColumn("__row", F.struct("doc_id", "__hash"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    judged = identify(marked, "__row", "text", "lang", page_evidence(pages), "source", on="row.doc_id")
+    return without(docs, judged.filter(~F.col("kept")).select("row.*"), ["doc_id", "__hash"]).select(*COLUMNS)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one of least id stays, once."""
+    docs = docs.select(*COLUMNS)
+    linked = materialise(jaccard_components(docs, "doc_id", "text").select("doc_id", "component_id"), "stage-links")
+    kept = without(docs, linked.filter("component_id <> doc_id").select("doc_id"), ["doc_id"])
+    often = materialise(linked.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "stage-often")
+    if not often.head(1):
+        return kept
+    # Rows of one id are one group: the first by text stays.
+    few = kept.join(often, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")
+    return without(kept, often, ["doc_id"]).unionByName(few)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 100 bytes or more that occur earlier go, in whole characters; documents of which no word is left go too."""
+    out = without_repeats(docs.select(*COLUMNS), "doc_id", "text", characters=True)
+    out = out.withColumn("text", F.col("kept").cast("string")).filter(F.col("text").rlike(WORD))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    docs = docs.select(*COLUMNS).withColumn("__size", n_words("text"))
+    copies = balance(docs, "doc_id", F.col("__size"), "source").filter("copies > 0")
+    copies = copies.groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__words")).agg(F.min("copies").alias("__copies"))
+    copies = materialise(copies, "stage-copies")
+    copies = F.broadcast(copies) if copies.count() <= 500_000 else copies
+    out = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__words")))
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every copy in the batches: doc_id, n_tokens, bucket_len, batch, slot."""
+    return length_buckets(docs, "doc_id", n_words("text"))
+
+
+STAGES = [("language", language), ("near_copies", near_copies), ("repeated_passages", repeated_passages), ("mixture", mixture), ("packed", packed)]
+
+#: The first three stages are beyond SQL; tests compare the pipeline with a plain one.
 ORACLE_SQL = None
 
 
