@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+import importlib
+
+MODULES = ("cell_queries",)
+
+
+def _all() -> dict:
+    out: dict = {}
+    for name in MODULES:
+        for query, pair in importlib.import_module(f"cellplane.plans.{name}").QUERIES.items():
+            if query in out:
+                raise ValueError(f"two queries named {query}")
+            out[query] = pair
+    return out
+
 
 def queries() -> dict:
-    return {}
+    return {name: run for name, (run, _) in _all().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in _all().items() if sql}
