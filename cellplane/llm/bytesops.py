@@ -6,8 +6,6 @@ three operations. Two families with their own bases and byte values make hashes
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
 MASK64 = (1 << 64) - 1
@@ -22,14 +20,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@functools.cache
-def _family(seed: int) -> tuple[int, int, np.ndarray]:
-    rng = np.random.default_rng(seed)
-    base = int(rng.integers(1 << 62, 1 << 63)) | 5
-    return base, pow(base, -1, 1 << 64), rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_families: dict[int, tuple[int, int, np.ndarray]] = {}
+_powers_cache: dict[int, np.ndarray] = {}
 
 
-_powers_cache: dict[int, np.ndarray] = {}
+def _family(seed: int) -> tuple[int, int, np.ndarray]:
+    if seed not in _families:
+        rng = np.random.default_rng(seed)
+        base = int(rng.integers(1 << 62, 1 << 63)) | 5
+        _families[seed] = base, pow(base, -1, 1 << 64), rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return _families[seed]
 
 
 def powers(base: int, n: int) -> np.ndarray:
