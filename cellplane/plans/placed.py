@@ -77,12 +77,13 @@ GRID_SQL = "grid AS (SELECT a.r::INTEGER AS row, b.c::INTEGER AS col FROM range(
 
 
 def components_sql(cells: str, name: str, neighbours: int) -> str:
-    """CTEs that label cells (row, col) with the least cell number of their component."""
+    """CTEs that label cells (row, col) with the least cell number of their component: least labels spread over runs of cells."""
+    reach = {4: 0, 8: 1}[neighbours]
     return (
-        f"{name}_n AS (SELECT row * 256 + col AS id, row, col FROM {cells}), "
-        f"{name}_o(dr, dc) AS (SELECT a.x, b.x FROM range(-1, 2) a(x), range(-1, 2) b(x) WHERE {'abs(a.x) + abs(b.x) = 1' if neighbours == 4 else 'abs(a.x) + abs(b.x) > 0'}), "
-        f"{name}_e AS (SELECT a.id AS s, b.id AS t FROM {name}_n a, {name}_o o, {name}_n b WHERE b.row = a.row + o.dr AND b.col = a.col + o.dc), "
-        f"{name}_w(id, label) USING KEY (id) AS (SELECT id, id FROM {name}_n UNION SELECT e.t, min(w.label) FROM {name}_w w JOIN {name}_e e ON e.s = w.id "
+        f"{name}_r AS (SELECT row * 256 + min(col) AS id, row, min(col) AS c0, max(col) AS c1 FROM (SELECT row, col, col - row_number() OVER (PARTITION BY row ORDER BY col) AS g FROM {cells}) GROUP BY row, g), "
+        f"{name}_d AS (SELECT a.id AS s, b.id AS t FROM {name}_r a JOIN {name}_r b ON b.row = a.row + 1 AND a.c0 - {reach} <= b.c1 AND b.c0 <= a.c1 + {reach}), "
+        f"{name}_e AS (SELECT s, t FROM {name}_d UNION ALL SELECT t, s FROM {name}_d), "
+        f"{name}_w(id, label) USING KEY (id) AS (SELECT id, id FROM {name}_r UNION SELECT e.t, min(w.label) FROM {name}_w w JOIN {name}_e e ON e.s = w.id "
         f"JOIN recurring.{name}_w cur ON cur.id = e.t WHERE w.label < cur.label GROUP BY e.t), "
-        f"{name} AS (SELECT n.row, n.col, w.label::BIGINT AS label FROM {name}_w w JOIN {name}_n n ON n.id = w.id)"
+        f"{name} AS (SELECT r.row, unnest(range(r.c0, r.c1 + 1))::INTEGER AS col, w.label::BIGINT AS label FROM {name}_w w JOIN {name}_r r ON r.id = w.id)"
     )
