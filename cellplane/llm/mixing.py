@@ -5,7 +5,8 @@ entropy (against one copy of two allowed) are exponentially tilted: rate = 2 / (
 convex dual has one multiplier for each source; guarded Newton steps solve it by grouped sums over the table of sizes, one
 distributed pass a step. Rates become whole copies by systematic rounding: along the sizes of a source, a document gets its
 extra copy where the running sum of fractions passes a whole number; prefix sums over (source, size bin, salt) keep a hot
-source from landing in one task. What is still missing of a target is made up by a few more or fewer copies.
+source from landing in one task. What is still missing of a target is made up by a few more or fewer copies; a source of few documents is
+met as near as whole copies of one document allow.
 
 Defined results: null texts have size 0 and are taken 0 times; null is a source of its own, last in order. Rows with the same
 key, size and source share a place in the order and may differ in copies. An empty table gives an empty result. The outcome
@@ -103,18 +104,23 @@ def _residual(full: DataFrame, most: int, passes: int = 4, near: float = 0.002)
     Rounding errs by a few documents, so only sources of few documents are that far off: the windows stay small.
     """
     changes = None
-    for _ in range(passes):
+    for n in range(passes + 1):
         sums = full.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("got"), F.first("target").alias("goal"))
         off = sums.select(F.col("source").alias("os"), (F.col("goal") - F.col("got")).alias("off"), "goal").filter(F.abs("off") > near * F.col("goal"))
         one = full.join(F.broadcast(off) if off.limit(100_001).count() <= 100_000 else off, F.col("source").eqNullSafe(F.col("os")))
-        one = one.filter((F.col("size") > 0) & (F.col("size") <= F.abs("off")) & F.when(F.col("off") > 0, F.col("copies") < most).otherwise(F.col("copies") > 0))
+        reach = 1 if n < passes else 2  # the last pass flips one document, of the size nearest to what is missing
+        one = one.filter((F.col("size") > 0) & (F.col("size") < reach * F.abs("off")) & F.when(F.col("off") > 0, F.col("copies") < most).otherwise(F.col("copies") > 0))
         one = one.withColumn("dup", F.row_number().over(Window.partitionBy("source", "size", "k").orderBy("copies"))).filter("dup = 1")
-        run = F.sum("size").over(Window.partitionBy("source").orderBy(F.col("size").desc(), F.xxhash64("k"), "k").rowsBetween(Window.unboundedPreceding, 0))
-        picked = one.withColumn("run", run).filter(F.col("run") <= F.abs("off"))
+        if n < passes:
+            run = F.sum("size").over(Window.partitionBy("source").orderBy(F.col("size").desc(), F.xxhash64("k"), "k").rowsBetween(Window.unboundedPreceding, 0))
+            picked = one.withColumn("run", run).filter(F.col("run") <= F.abs("off"))
+        else:
+            nearest = Window.partitionBy("source").orderBy(F.abs(F.abs("off") - F.col("size")), F.xxhash64("k"), "k")
+            picked = one.withColumn("nth", F.row_number().over(nearest)).filter("nth = 1")
         picked = picked.select(F.col("source").alias("fs"), F.col("k").alias("fk"), F.col("size").alias("fz"), F.signum("off").cast("long").alias("change"))
         picked = materialise(picked, "mix-flips")
         if not picked.head(1):
-            break
+            continue
         hit = (F.col("fs").eqNullSafe(F.col("source"))) & (F.col("fk").eqNullSafe(F.col("k"))) & (F.col("fz") == F.col("size"))
         full = full.join(picked, hit, "left").withColumn("copies", F.col("copies") + F.coalesce(F.col("change"), F.lit(0))).drop("fs", "fk", "fz", "change")
         changes = picked if changes is None else changes.unionByName(picked)
