@@ -51,6 +51,9 @@ atexit.register(forget)
 
 
 def partitions(spark: SparkSession) -> int:
+    """Shuffle partitions of the session. Arrow batches are held to 8 MB from here on: whole texts go to Python in them."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 

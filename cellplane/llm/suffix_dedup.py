@@ -29,10 +29,10 @@ from .blobs import DDL, SCHEMA, as_table, batch, by_slot, joined, pack, unpack
 from .bytesops import MASK64, Spans, merged, mix, ranges, sliding_min
 from .common import partitions, table
 
-GRAM, BLOCK_BITS = 32, 20
+GRAM, BLOCK_BITS = 32, 19
 POSITION = (1 << BLOCK_BITS) - 1
 #: Records that a sender gathers before it packs them; how often it may meet an anchor until it deals it out.
-FLUSH, OFTEN = 400_000, 256
+FLUSH, OFTEN = 200_000, 128
 SPANS, POSTINGS, MARKERS, HOT, REQUESTS, CONTEXTS, WINDOWS = range(7)
 NULL_KEY = -(1 << 63)
 

@@ -13,7 +13,7 @@ _GAP[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 #: Bytes of texts that are worked on at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 def blocks(rows: Iterator[tuple], size: int = BLOCK) -> Iterator[list[tuple]]:
