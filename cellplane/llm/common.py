@@ -1,53 +1,16 @@
-"""What the operators of this subpackage share: scratch tables, partition counts, word patterns."""
+"""What the operators of this subpackage share: partition counts, word patterns, small helpers."""
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellplane.scratch import materialise
+
 #: A word: a run of characters outside space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a local one is set only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="cellplane-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and reads it again: later steps survive lost executors without running df anew.
-
-    The table goes when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/cellplane/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(df_paths: int = 0) -> None:
-    """Deletes the scratch tables written so far, but for the last df_paths."""
-    while len(_written) > df_paths:
-        spark, path = _written.pop(0)
-        with contextlib.suppress(Exception):
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-atexit.register(forget)
+__all__ = ["WORD", "materialise", "n_words", "partitions", "table", "without"]
 
 
 def partitions(spark: SparkSession) -> int:
