@@ -13,6 +13,8 @@ hash. Texts of one set are one node from the start.
 3. Links make components. In a large group whose nodes fell into several components, the pairs across components are candidates too,
    save those that sizes or the triangle inequality of the Jaccard distance (by the known distance to the group's least node) rule
    out; they are counted the same way. So no link between different components is lost, and no group expands into all its pairs.
+4. All links lie inside components. Components that reach into large groups are cut into blocks of nodes, and the links within a block
+   and between each two blocks are counted from whole sets; only counts per node leave a block, no pairs.
 
 Defined results: null and wordless texts have empty sets and link with nothing. Repeated rows are returned as often as they occur;
 rows of equal sets are linked. A row with a null key takes part in no link and has a null component. An empty table gives an
@@ -38,6 +40,8 @@ WORDS, PERCENT = 5, 80
 FREQUENT, OFTEN, TOTAL = 1 << 16, 8, 64
 #: Groups up to this size are candidates pairwise at once; larger leftovers are compared in blocks of so many nodes.
 SMALL, PART, FRAGMENTS = 8, 2000, 5
+#: Nodes and shingles of a block in which links are counted (one text may be longer), and shingles that are held as a matrix at once.
+BLOCK_NODES, BLOCK_SHINGLES, COLUMNS = 1000, 200_000, 2048
 NODES = pa.schema([("k", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("s2", pa.int64()), ("shingle", pa.int64()), ("times", pa.int64())])
 
 
@@ -275,8 +279,62 @@ def across(t: pa.Table) -> pa.Table:
     return pa.table([*[pa.array(c) for c in np.ascontiguousarray(both)], pa.nulls(both.shape[1], pa.int64()), pa.array(np.ones(both.shape[1], np.int64))], schema=PAIRS)
 
 
-def jaccard_components(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row for each row of docs: the key, n_shingles, component_id (least key reachable by links), n_links (of its set)."""
+def block_links(t: pa.Table) -> pa.Table:
+    """How many nodes of the other block each node of two blocks of a component is alike to; for one block, how many of its own."""
+    s, mine, first, last = (t.column(c).to_numpy() for c in ("s", "mine", "b1", "b2"))
+    places = t.column("places").combine_chunks()
+    n = places.value_lengths().to_numpy().astype(np.int64)
+    one = first[0] == last[0]
+    left = np.flatnonzero(mine == first)
+    right = left if one else np.flatnonzero(mine == last)
+    row, code = np.repeat(np.arange(len(s)), n), np.unique(places.flatten().to_numpy(), return_inverse=True)[1]
+    size = int(code.max(initial=-1)) + 1
+    of_left = np.zeros(len(s), dtype=bool)
+    of_left[left] = True
+    here = np.bincount(code[of_left[row]], minlength=size)
+    both = here > 1 if one else (here > 0) & (np.bincount(code[~of_left[row]], minlength=size) > 0)
+    row, code = row[both[code]], (np.cumsum(both) - 1)[code[both[code]]]
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    shared = np.zeros((len(left), len(right)), dtype=np.int64)
+    for begin in range(0, int(both.sum()), COLUMNS):
+        a, b = np.searchsorted(code, [begin, begin + COLUMNS])
+        has = np.zeros((len(s), COLUMNS), dtype=np.float32)
+        has[row[a:b], code[a:b] - begin] = 1
+        shared += (has[left] @ has[right].T).astype(np.int64)
+    alike = 100 * shared >= PERCENT * (n[left][:, None] + n[right][None, :] - shared)
+    links = np.zeros(len(s), dtype=np.int64)
+    if one:
+        np.fill_diagonal(alike, False)
+    else:
+        links[right] = alike.sum(axis=0)
+    links[left] = alike.sum(axis=1)
+    return pa.table([pa.array(s), pa.array(links)], names=["s", "links"])
+
+
+def counted_links(members: DataFrame, labels: DataFrame, docs: DataFrame, nodes: DataFrame, seed: int, last: np.ndarray) -> DataFrame:
+    """(s, links) of all nodes of the components of three nodes or more that have members in large groups. labels: of all links' ends."""
+    touched = members.select(F.col("x").alias("v")).distinct().join(labels, "v").select("label").distinct()
+    one = nodes.filter("k is not null").groupBy("s").agg(F.min("k").alias("k"), F.max("n").alias("n"))
+    of = materialise(labels.join(touched, "label").select(F.col("v").alias("s"), "label").join(one, "s"), "join-blocks")
+    parts = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES))
+    of = of.join(of.groupBy("label").agg(F.least(parts, F.count("*")).cast("int").alias("parts"), F.count("*").alias("size")).filter("size > 2"), "label")
+    asked = materialise(of.select("s", "k", "label", "parts"), "join-blocks")
+    few = asked.select("k", "s")
+    few = F.broadcast(few) if few.count() <= 1_000_000 else few
+    sets_ = docs.join(few, "k").select("k", "text", "s").mapInArrow(segments(seed, last, 1), SEGMENTS).select("s", "places").dropDuplicates(["s"])
+    rows = sets_.join(asked.select("s", "label", "parts"), "s").withColumn("mine", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("label", "s", "places", "mine", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"))
+    found = rows.groupBy("label", "b1", "b2").applyInArrow(block_links, "s long, links long")
+    return materialise(found.groupBy("s").agg(F.sum("links").alias("links")), "join-counted")
+
+
+def jaccard_components(docs: DataFrame, key: str, text: str, count_links: bool = True) -> DataFrame:
+    """One row for each row of docs: the key, n_shingles, component_id (least key reachable by links), n_links (of its set).
+
+    count_links: without it there is no n_links, and no links are looked for that components do not need.
+    """
     spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("text"))
     slots, seed = 2 * partitions(spark), 21
@@ -311,6 +369,9 @@ def jaccard_components(docs: DataFrame, key: str, text: str) -> DataFrame:
         links = materialise(links.union(again.filter(alike).select("x", "y")), "join-links")
         labels = least_labels(links, cut)
     degree = links.select(F.col("a").alias("s")).union(links.select("b")).groupBy("s").agg(F.count("*").alias("n_links"))
+    if count_links:
+        exact = counted_links(met.filter("t is not null"), labels, docs, nodes, seed, last)
+        degree = degree.join(exact, "s", "left").select("s", F.coalesce("links", "n_links").alias("n_links"))
     known = nodes.filter("k is not null and n > 0").groupBy("s").agg(F.min("k").alias("least"))
     known = known.join(labels.select(F.col("v").alias("s"), "label"), "s", "left").join(degree, "s", "left")
     known = known.withColumn("label", F.coalesce("label", "s"))
@@ -319,7 +380,8 @@ def jaccard_components(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = nodes.withColumn("j", F.when((F.col("n") > 0) & F.col("k").isNotNull(), F.col("s")))
     full = rows.filter("j is not null").join(known, "s").select("k", "n", "component", "n_links")
     rest = rows.filter("j is null").select("k", "n", F.col("k").alias("component"), F.lit(None).cast("long").alias("n_links"))
-    return full.unionByName(rest).select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    out = [F.col("k").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")]
+    return full.unionByName(rest).select(*out, *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if count_links else []))
 
 
 def _leftovers(members: DataFrame, labels: DataFrame, checked: DataFrame, counted: DataFrame, total: DataFrame) -> DataFrame | None:

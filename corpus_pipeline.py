@@ -27,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one of least id stays, once."""
     docs = docs.select(*COLUMNS)
-    linked = materialise(jaccard_components(docs, "doc_id", "text").select("doc_id", "component_id"), "stage-links")
+    linked = materialise(jaccard_components(docs, "doc_id", "text", count_links=False).select("doc_id", "component_id"), "stage-links")
     kept = without(docs, linked.filter("component_id <> doc_id").select("doc_id"), ["doc_id"])
     often = materialise(linked.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "stage-often")
     if not often.head(1):

@@ -88,6 +88,28 @@ def test_ngram_join_of_large_groups(spark, monkeypatch, small, part):
     assert (None, 76, None) in got
 
 
+@pytest.mark.parametrize("block,columns", [(1000, 2048), (3, 7)])
+def test_links_of_large_groups(spark, docs, rows, monkeypatch, block, columns):
+    """Every link counts, also between members of one component of a group above SMALL."""
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", block)
+    monkeypatch.setattr(ngram_join, "COLUMNS", columns)
+
+    def brute(rows):
+        s = shingle_sets(rows)
+        sets = {frozenset(x) for x in s if x}
+        return sorted((r[0], sum(y != x and 100 * len(x & y) >= 80 * len(x | y) for y in sets) if x else 0) for r, x in zip(rows, s, strict=True))
+
+    assert ngram_join.SMALL == 8
+    base = [f"w{i}" for i in range(200)]
+    alike = [(i, " ".join([*base[: 9 * i], f"v{i}", *base[9 * i + 1 :]])) for i in range(20)]
+    chain = [(100 + i, " ".join([*(f"u{j}" for j in range(4 * i)), *(f"x{j}" for j in range(4 * i, 120))])) for i in range(20)]
+    made = [*alike, *chain, (200, alike[3][1]), (201, None), (202, "one")]
+    got = ngram_join.jaccard_components(spark.createDataFrame(made, "id long, text string").repartition(5), "id", "text").collect()
+    assert sorted((r.id, r.n_links) for r in got) == brute(made)
+    assert {r.n_links for r in got if r.id < 20} == {19}
+    assert sorted((r.doc_id, r.n_links) for r in ngram_join.jaccard_components(docs, "doc_id", "text").collect()) == brute(rows)
+
+
 def test_quality_rules(docs, rows, empty):
     out = quality_rules.repetition_rules(docs, "doc_id", "text")
     got = sorted(tuple(r[c] for c in ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat", "base_failed")) for r in out.collect())
