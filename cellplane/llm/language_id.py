@@ -25,7 +25,9 @@ from .common import materialise, partitions, table
 from .features import trigrams
 from .words import blocks
 
-BITS, LANGUAGES, MOST, SURE, KAPPA = 12, 64, 60.0, 0.5, 20.0
+BITS, MOST, SURE, KAPPA = 12, 60.0, 0.5, 20.0
+#: Scores of a batch, and of a table that is sent to all executors.
+SCORES, SENT = 1 << 20, 6_400_000
 COUNTS = pa.schema([("lang", pa.string()), ("feature", pa.int32()), ("n", pa.int64())])
 
 
@@ -55,23 +57,24 @@ def score(logs: np.ndarray, most: float):
             rows = ((t.as_py() or b"", k) for t, k in zip(b.column("text"), keys, strict=True))
             for block in blocks(rows):
                 grams = trigrams([t for t, _ in block], BITS, fold=True)
-                n = grams.sum(axis=1)
-                lls = (grams.astype(np.float32) @ logs.T).astype(np.float64) * (np.minimum(n, most) / np.maximum(n, 1))[:, None]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * logs.shape[0]), pa.array(lls.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array([k for _, k in block], b.schema.field("row").type), pa.array(n.astype(np.int64)), lists], names=["row", "n", "lls"])
+                counts, some = grams.sum(axis=1), max(1, SCORES // logs.shape[0])
+                for i in range(0, len(block), some):
+                    n = counts[i : i + some]
+                    lls = (grams[i : i + some].astype(np.float32) @ logs.T).astype(np.float64) * (np.minimum(n, most) / np.maximum(n, 1))[:, None]
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * logs.shape[0]), pa.array(lls.ravel()))
+                    yield pa.RecordBatch.from_arrays([pa.array([k for _, k in block[i : i + some]], b.schema.field("row").type), pa.array(n.astype(np.int64)), lists], names=["row", "n", "lls"])
 
     return run
 
 
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages and log-probabilities of features, from (text, declared). The LANGUAGES most counted ones are known."""
+    """Languages and log-probabilities of features, from (text, declared). Every declared language is known."""
     counts = docs.select("text", "declared").mapInArrow(count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "lang-counts")
-    sizes = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES)
-    known = sorted(r.lang for r in sizes.collect())
-    table_ = np.zeros((len(known), 1 << BITS))
-    for r in counts.filter(F.col("lang").isin(known)).toLocalIterator():
-        table_[known.index(r.lang), r.feature] = r.n
+    known = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    table_, place = np.zeros((len(known), 1 << BITS)), {lang: i for i, lang in enumerate(known)}
+    for r in counts.toLocalIterator():
+        table_[place[r.lang], r.feature] = r.n
     # Tokens a language was hardly seen with are smoothed towards all languages' share.
     whole = table_.sum(axis=0) + 0.5
     smooth = table_ + 200.0 * whole / whole.sum()
@@ -80,8 +83,9 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 def smoothed(rows: DataFrame, by: str, langs: int) -> DataFrame:
     """Counts (by, c: array by language) of the languages that texts suggest."""
-    slots = [F.sum((F.col("guess") == i).cast("double")).alias(f"g{i}") for i in range(langs)]
-    return rows.groupBy(by).agg(*slots).select(by, F.array(*[f"g{i}" for i in range(langs)]).alias("c"))
+    found = rows.groupBy(by, "guess").agg(F.count("*").cast("double").alias("c")).groupBy(by)
+    found = found.agg(F.map_from_entries(F.collect_list(F.when(F.col("guess").isNotNull(), F.struct(F.col("guess").cast("int"), "c")))).alias("of"))
+    return found.select(by, F.transform(F.sequence(F.lit(0), F.lit(langs - 1)), lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0.0))).alias("c"))
 
 
 def shares(c: Column, prior: Column, kappa: float = KAPPA) -> Column:
@@ -92,12 +96,14 @@ def shares(c: Column, prior: Column, kappa: float = KAPPA) -> Column:
 def fused(rows: DataFrame, langs: list[str], sure: float) -> DataFrame:
     """rows (…, n, lls, declared, suffix, host) with lang_id, confidence and kept."""
     m = len(langs)
-    lit = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
+    lit = lambda xs: F.split(F.lit(" ".join(repr(float(x)) for x in xs)), " ").cast("array<double>")
     rows = rows.withColumn("guess", F.when(F.col("n") > 0, F.array_position("lls", F.array_max("lls")) - 1))
-    base = [r or 0.0 for r in rows.agg(*[F.sum((F.col("guess") == i).cast("double")) for i in range(m)]).first()]
-    base = np.array(base) + 1.0
+    base = np.ones(m)
+    for r in rows.filter("guess is not null").groupBy("guess").count().collect():
+        base[int(r.guess)] += r["count"]
     whole = lit(base / base.sum())
-    small = lambda df: F.broadcast(df) if df.limit(100_001).count() <= 100_000 else df
+    most = min(100_000, SENT // m)
+    small = lambda df: F.broadcast(df) if df.limit(most + 1).count() <= most else df
     by_suffix = materialise(smoothed(rows, "suffix", m), "lang-suffix")
     by_host = smoothed(rows, "host", m)
     host_suffix = rows.groupBy("host").agg(F.min("suffix").alias("hs"))
@@ -114,7 +120,7 @@ def fused(rows: DataFrame, langs: list[str], sure: float) -> DataFrame:
     logs = F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.get("lls", i) + F.get("ld", i) + F.get("ls", i) + F.log(F.get("prior", i)))
     rows = rows.withColumn("logs", logs).withColumn("top", F.array_max("logs"))
     total = F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
-    best = F.get(F.array(*[F.lit(x) for x in langs]), F.array_position("logs", F.col("top")).cast("int") - 1)
+    best = F.get(F.split(F.lit(" ".join(langs)), " "), F.array_position("logs", F.col("top")).cast("int") - 1)
     rows = rows.withColumn("confidence", 1 / total)
     return rows.withColumn("lang_id", F.when(F.col("n") > 0, best)).withColumn("kept", (F.col("n") > 0) & (F.col("confidence") >= sure))
 

@@ -93,6 +93,19 @@ def test_language(spark, docs, rows, empty):
     assert language_id.identify(none, "doc_id", "text", "lang").filter("kept").count() == 0
 
 
+def test_more_than_64_languages(spark):
+    """Rare declared languages are known too."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(80):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)]
+        tag = "x" + chr(97 + i // 26) + chr(97 + i % 26)
+        rows += [(1000 * i + j, " ".join(rng.choice(words) for _ in range(60)), tag) for j in range(2 if i % 4 else 5)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string").repartition(4)
+    got = {r.row: (r.lang_id, r.kept) for r in language_id.identify(df, "id", "text", "lang").collect()}
+    assert got == {i: (tag, True) for i, _, tag in rows}
+
+
 def test_page_evidence(spark):
     pages = spark.createDataFrame([(2, "http://a.example.com/fr/825?page=2", "<html><p lang=xx>"), (1, "https://b.org/en/825.html#t", '<html class="x" lang="FR-ca">'), (3, None, None), (4, "x", "y")], "page_id long, url string, html string")
     assert [tuple(r) for r in language_id.page_evidence(pages).collect()] == [(825, "FR-ca", "b.org")]
