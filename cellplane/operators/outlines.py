@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 RINGS = pa.list_(pa.list_(POINT))
@@ -209,9 +210,10 @@ def faces(segments: np.ndarray) -> list[np.ndarray]:
     around = {n: sorted(near, key=lambda m, n=n: np.arctan2(m[1] - n[1], m[0] - n[0])) for n, near in nodes.items() if near}
     left = {(a, b) for a, near in around.items() for b in near}
     out = []
-    while left:
-        start = a, b = min(left)
-        ring = []
+    for start in sorted(left):
+        if start not in left:
+            continue
+        (a, b), ring = start, []
         while True:
             left.discard((a, b))
             ring.append(a)
@@ -241,13 +243,24 @@ def mapped(shapes: DataFrame, kernel: Callable[[list[np.ndarray]], list[np.ndarr
     return shapes.select("id", "rings").mapInArrow(run, f"id long, rings {DDL}")
 
 
-def polygonised(lines: DataFrame) -> DataFrame:
-    """(tile, face, rings) of the line work (tile, rings) of each tile."""
+def tiled(lines: DataFrame, side: float, halo: float, key: Callable[[Column, Column], Column]) -> DataFrame:
+    """(tile, rings): the line work (rings) of each row, in every tile that its bounds widened by the halo meet. key: a tile's number by column and row."""
+    points = F.flatten("rings")
+    tiles = lambda axis: F.sequence(F.floor((F.array_min(points[axis]) - halo) / side), F.floor((F.array_max(points[axis]) + halo) / side))
+    rows = lines.select("rings", F.explode(tiles("x")).alias("tx"), tiles("y").alias("ty")).select("rings", "tx", F.explode("ty").alias("ty"))
+    return rows.select(key(F.col("tx"), F.col("ty")).cast("long").alias("tile"), "rings").filter("tile is not null")
+
+
+def polygonised(lines: DataFrame, inside: Callable[[int], tuple[float, float, float, float]] | None = None) -> DataFrame:
+    """(tile, face, rings) of the line work (tile, rings) of each tile. inside: the box of a tile that faces are clipped to."""
     schema = pa.schema([("tile", pa.int64()), ("face", pa.int32()), ("rings", RINGS)])
 
     def run(t: pa.Table) -> pa.Table:
         paths = [np.array([(p["x"], p["y"]) for p in r]) for rings in t.column("rings").to_pylist() for r in rings or [] if len(r) > 1]
         found = faces(np.concatenate([np.stack([r[:-1], r[1:]], axis=1) for r in paths])) if paths else []
-        return pa.table([pa.array([t.column("tile")[0].as_py()] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()), pa.array([as_rings([f]) for f in found], RINGS)], schema=schema)
+        tile = t.column("tile")[0].as_py()
+        if inside is not None:
+            found = [r for r in (open_ring(clipped(f, *inside(tile))) for f in found) if len(r) > 2 and signed_area(r) > 1e-9]
+        return pa.table([pa.array([tile] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()), pa.array([as_rings([f]) for f in found], RINGS)], schema=schema)
 
     return lines.select("tile", "rings").groupBy("tile").applyInArrow(run, f"tile long, face int, rings {DDL}")

@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cellplane.functions.grid import GridSpec
 from cellplane.operators import outlines as o
@@ -62,6 +63,20 @@ def test_faces_of_a_lattice(spark, n):
     assert all(abs(o.signed_area(np.array([(p.x, p.y) for p in r.rings[0]])) - 1) < 1e-9 for r in got)
 
 
+def test_faces_across_tiles(spark):
+    """Faces of line work that crosses tiles are those of a single tile, cut at the tiles."""
+    rng = np.random.default_rng(3)
+    made = [(x, y, x + w, y + h) for x, y, w, h in (rng.integers([0, 0, 20, 20], [2500, 2500, 450, 320], (60, 4)).astype(float) + 0.5).tolist()]
+    closed = [[(a, b), (c, b), (c, d), (a, d), (a, b)] for a, b, c, d in made]
+    box = lambda t: (t // 10 * 1024, t % 10 * 1024, (t // 10 + 1) * 1024, (t % 10 + 1) * 1024)
+    df = spark.createDataFrame([([[{"x": x, "y": y} for x, y in r]],) for r in closed], f"rings {o.DDL}")
+    tiles = o.tiled(df, 1024, 512, lambda x, y: F.when(x.between(0, 9) & y.between(0, 9), x * 10 + y))
+    got = sorted((r.tile, round(o.signed_area(np.array([(p.x, p.y) for p in r.rings[0]])), 3)) for r in o.polygonised(tiles, box).collect())
+    whole = o.faces(np.concatenate([np.stack([r[:-1], r[1:]], axis=1) for r in map(np.array, closed)]))
+    cut = [(10 * i + j, o.clipped(f, *box(10 * i + j))) for f in whole for i in range(4) for j in range(4)]
+    assert got == sorted((t, round(a, 3)) for t, f in cut if len(f) > 2 and (a := o.signed_area(f)) > 1e-9)
+
+
 def test_kernel_over_shapes(spark):
     rows = [(1, [[{"x": float(x), "y": float(y)} for x, y in SQUARE]]), (2, None)]
     df = spark.createDataFrame(rows, f"id long, rings {o.DDL}")
