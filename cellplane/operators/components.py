@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def least_labels(edges: DataFrame, cut: Callable[[DataFrame], DataFrame], rounds: int = 64) -> DataFrame:
+def least_labels(edges: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(v, label) for every end of an edge (a, b): the least node that can be reached. cut: writes a table and reads it again.
 
     A round takes the least label of the neighbours, then the label's label; labels only fall, and paths halve, so the rounds
@@ -16,7 +16,7 @@ def least_labels(edges: DataFrame, cut: Callable[[DataFrame], DataFrame], rounds
     """
     ends = cut(edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select("b", "a")).filter("v <> w").distinct())
     labels = cut(ends.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("label")))
-    for _ in range(rounds):
+    while True:  # labels only fall, so this ends
         near = ends.join(labels.withColumnRenamed("v", "w"), "w").groupBy("v").agg(F.min("label").alias("near"))
         lower = labels.join(near, "v").select("v", "label", F.least("label", "near").alias("l"))
         jump = labels.select(F.col("v").alias("l"), F.col("label").alias("to"))
@@ -24,4 +24,3 @@ def least_labels(edges: DataFrame, cut: Callable[[DataFrame], DataFrame], rounds
         labels = after.select("v", "label")
         if not after.filter("fell").head(1):
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
