@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellplane.scratch import materialise
+from cellplane.scratch import drop, materialise
 
 #: A word: a run of characters outside space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "materialise", "n_words", "partitions", "table", "without"]
+__all__ = ["WORD", "bounded_batches", "drop", "materialise", "n_words", "partitions", "table", "without"]
 
 
-def partitions(spark: SparkSession) -> int:
-    """Shuffle partitions of the session. Arrow batches are held to 8 MB from here on: whole texts go to Python in them."""
+def bounded_batches(spark: SparkSession) -> None:
+    """Holds Arrow batches to 8 MB from here on, unless the session says otherwise: whole texts go to Python in them."""
     if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
+def partitions(spark: SparkSession) -> int:
+    """Shuffle partitions of the session."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 

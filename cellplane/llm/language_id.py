@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions, table
+from .common import materialise, bounded_batches, table
 from .features import trigrams
 from .words import blocks
 
@@ -131,7 +131,7 @@ def identify(docs: DataFrame, row: str, text: str, declared: str, evidence: Data
     row: the column that comes back. evidence: (id, page_lang, page_host), at most one row for an id; on: where in row the id is.
     """
     docs = docs.select(F.col(row).alias("row"), F.col(text).cast("binary").alias("text"), tag(F.col(declared)).alias("declared"), (F.col(host) if host else F.lit(None).cast("string")).alias("host"))
-    partitions(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     langs, logs = learn(docs)
     if not langs:
         return docs.select("row", "declared", F.lit("none").alias("suffix"), F.coalesce("host", F.lit("none")).alias("host"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("lang_id"), F.lit(0.0).alias("confidence"), F.lit(False).alias("kept"))

@@ -5,20 +5,20 @@ hash. Texts of one set are one node from the start.
 
 1. Two sets that are alike enough share shingles among the first p = n - ceil(0.8 n) + 1 of each: with a as the least intersection
    that their sizes ask for, at least min(p - n + a) over the two. The global order of those prefixes is cut into fragments; each receiver
-   counts for its fragment what two nodes share, and the sum per pair must reach that number. Where many nodes meet at one shingle,
-   each is held against the group's least node of like size only; what a pair may share there is bounded by the number of such
-   groups that its ends are in.
-2. For the pairs that are left the whole order is cut into fragments. Per fragment the overlap of the two segments is counted, and
-   the sum over the fragments is the exact size of the intersection.
-3. Links make components. In a large group whose nodes fell into several components, the pairs across components are candidates too,
-   save those that sizes or the triangle inequality of the Jaccard distance (by the known distance to the group's least node) rule
-   out; they are counted the same way. So no link between different components is lost, and no group expands into all its pairs.
-4. All links lie inside components. Components that reach into large groups are cut into blocks of nodes, and the links within a block
-   and between each two blocks are counted from whole sets; only counts per node leave a block, no pairs.
+   counts for its fragment what two nodes share, and the sum per pair must reach that number. Where more than `SMALL` nodes meet at one
+   shingle no pairs are formed: the nodes join the unit of the group's least node of like size.
+2. A unit is a node with those that it may be linked with (or whose links the unit shall find). A member of a large group stays in
+   a unit only if its shared prefix shingles could reach what some size present there asks for.
+3. Whole sets go to their units, large units in blocks of nodes, each two blocks to one task. There the global order is cut again; the
+   overlaps of each fragment are counted for all pairs at once by a matrix product, and the sum over the fragments is the exact
+   intersection. A pair of two common units counts in the first. Only a row for each linked node leaves a block: how many links it has, and
+   a node that it is connected to. So no group expands into rows of pairs, and every link counts once.
+4. Connected nodes make components.
 
 Defined results: null and wordless texts have empty sets and link with nothing. Repeated rows are returned as often as they occur;
-rows of equal sets are linked. A row with a null key takes part in no link and has a null component. An empty table gives an
-empty result.
+rows of equal sets are linked. Rows of one key and different texts are nodes of their own. A row with a null key takes part in no link and
+has a null component. Keys must be whole numbers or castable to such. Texts of any length are taken whole, in pieces. Other columns of the input,
+whatever their names, are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,22 +32,24 @@ from cellplane.operators.components import least_labels
 
 from .blobs import DDL, batch, by_slot, joined, unpack
 from .bytesops import mix
-from .common import materialise, partitions, table
+from .common import bounded_batches, drop, materialise, table
 from .words import blocks, distinct, shingles, word_hashes
 
 WORDS, PERCENT = 5, 80
 #: Shingles that stand last in the order: at most so many, each met so often by one sender, and in total.
 FREQUENT, OFTEN, TOTAL = 1 << 16, 8, 64
-#: Groups up to this size are candidates pairwise at once; larger leftovers are compared in blocks of so many nodes.
-SMALL, PART, FRAGMENTS = 8, 2000, 5
-#: Nodes and shingles of a block in which links are counted (one text may be longer), and shingles that are held as a matrix at once.
-BLOCK_NODES, BLOCK_SHINGLES, COLUMNS = 1000, 200_000, 2048
+#: Groups up to this size are candidates pairwise at once; the members of larger ones meet in units.
+SMALL = 8
+#: Prefix shingles of a receiver, and the least number of receivers.
+RECORDS, SLOTS = 500_000, 64
+#: Nodes and shingles of a block in which links are counted (one text may be longer), and shingles of a fragment there.
+BLOCK_NODES, BLOCK_SHINGLES, COLUMNS = 1000, 500_000, 2048
 NODES = pa.schema([("k", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("s2", pa.int64()), ("shingle", pa.int64()), ("times", pa.int64())])
 
 
 def sets(batches, k: int = WORDS):
     """Blocks of (keys, sizes, text numbers, shingles): the distinct shingles of each text, sorted by text and hash."""
-    rows = ((text.as_py() or b"", key.as_py()) for b in batches for text, key in zip(b.column("text"), b.column("k"), strict=True))
+    rows = ((text.as_py() or b"", key) for b in batches for text, key in zip(b.column("text"), b.column("k").to_pylist(), strict=True))
     for block in blocks(rows):
         words, doc = word_hashes([t for t, _ in block], lower=True)
         values, doc = distinct(*shingles(words, doc, k, len(block)))
@@ -115,7 +117,7 @@ def prefixes(seed: int, last: np.ndarray, slots: int):
                 s, n, t = s[order], n[order], t[order]
                 keep = np.concatenate([[True], (t[1:] != t[:-1]) | (s[1:] != s[:-1])])
                 spread = mix(t[keep])
-                by_slot((spread >> np.uint64(32)).astype(np.int64) % slots, 0, [spread & np.uint64(0xFFFFFFFF), s[keep], n[keep]], out)
+                by_slot((spread >> np.uint64(32)).astype(np.int64) % slots, 0, [spread, s[keep], n[keep]], out)
             return batch(out)
 
         for keys, sizes, doc, values in sets(batches):
@@ -138,206 +140,234 @@ def prefixes(seed: int, last: np.ndarray, slots: int):
     return run
 
 
-PAIR = "x long, y long, nx long, ny long, t long, shared long"
-PAIRS = pa.schema([(f.split()[0], pa.int64()) for f in PAIR.split(", ")])
+#: What a receiver says. PAIR: x and y share a shingles here. MEMBER: x meets the unit of y at a shingles. TOTAL: x meets others at a shingles, at b in large groups.
+MET = "kind int, x long, y long, nx long, ny long, a long, b long"
+MET_SCHEMA = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("x", "y", "nx", "ny", "a", "b")]])
+PAIR, MEMBER, MEETS = range(3)
 
 
 def near_sizes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)
 
 
-def tallied(parts: list[tuple[np.ndarray, ...]], count: int) -> pa.Table:
-    """Pairs (x, y, nx, ny), each once with the least end first, and how often they came (times count, 0 for pairs of large groups)."""
+def said(kind: int, x, y=None, nx=None, ny=None, a=None, b=None) -> pa.Table:
+    none = pa.nulls(len(x), pa.int64())
+    columns = [none if c is None else pa.array(c.astype(np.int64)) for c in (x, y, nx, ny, a, b)]
+    return pa.table([pa.array(np.full(len(x), kind, np.int32)), *columns], schema=MET_SCHEMA)
+
+
+def tallied(kind: int, parts: list[tuple[np.ndarray, ...]]) -> pa.Table:
+    """Rows (x, y, nx, ny), each once, and how often they came."""
     if not parts:
-        return PAIRS.empty_table()
+        return MET_SCHEMA.empty_table()
     x, y, nx, ny = (np.concatenate(p) for p in zip(*parts, strict=True))
-    swap = x > y
-    x, y, nx, ny = np.where(swap, y, x), np.where(swap, x, y), np.where(swap, ny, nx), np.where(swap, nx, ny)
     order = np.lexsort((y, x))
     x, y, nx, ny = x[order], y[order], nx[order], ny[order]
     at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])) if len(x) else np.empty(0, np.int64)
-    times = np.diff(np.append(at, len(x))) * count
-    return pa.table([*[pa.array(c[at].astype(np.int64)) for c in (x, y, nx, ny)], pa.nulls(len(at), pa.int64()), pa.array(times)], schema=PAIRS)
+    return said(kind, x[at], y[at], nx[at], ny[at], np.diff(np.append(at, len(x))))
 
 
 def candidates(t: pa.Table) -> pa.Table:
-    """Pairs of nodes that meet at shingles (t null) with the number of those; for large groups the pairs with the group's least node, and the members (t, x, y = least).
-
-    Also for each node the number of its shingles here at which it meets others (t and y null).
-    """
-    here = t.column("slot")[0].as_py()
+    """What the nodes of one receiver share, see MET."""
     digit, s, n = joined([unpack(d) for d in t.column("data").to_pylist()], ("u8", "u8", "i8"))
     s = s.view(np.int64)
     order = np.lexsort((s, n, digit))
     digit, s, n = digit[order], s[order], n[order]
     if not len(digit):
-        return PAIRS.empty_table()
+        return MET_SCHEMA.empty_table()
     new = np.concatenate([[True], (digit[1:] != digit[:-1]) | (s[1:] != s[:-1])])
     digit, s, n = digit[new], s[new], n[new]
-    _, inverse, count = np.unique(digit, return_inverse=True, return_counts=True)
-    size = count[inverse]
-    meeting, times = np.unique(s[size > 1], return_counts=True)
+    begin = np.flatnonzero(np.concatenate([[True], digit[1:] != digit[:-1]]))
+    count = np.diff(np.append(begin, len(digit)))
+    size = np.repeat(count, count)
+    meeting, inverse, times = np.unique(s[size > 1], return_inverse=True, return_counts=True)
+    large = np.bincount(inverse, weights=size[size > 1] > SMALL, minlength=len(meeting))
     little = (size > 1) & (size <= SMALL)
     d, a, m = digit[little], s[little], n[little]
-    found = []
+    pairs = []
     for step in range(1, SMALL):
         if len(d) <= step:
             break
         i = np.flatnonzero((d[step:] == d[:-step]) & near_sizes(m[step:], m[:-step]))
-        if len(i):
-            found.append((a[i], a[i + step], m[i], m[i + step]))
-    d, a, m = digit[size > SMALL], s[size > SMALL], n[size > SMALL]
-    stars, members = [], []
-    for g in np.split(np.arange(len(d)), np.flatnonzero(d[1:] != d[:-1]) + 1) if len(d) else []:
-        while len(g):  # sorted by size: the least takes all of like size
-            like = near_sizes(m[g], m[g[:1]])
-            own, g0, g = g[like], g[0], g[~like]
-            least, size0 = np.full(len(own), a[g0]), np.full(len(own), m[g0])
-            members.append((a[own], least, m[own], size0, d[own].astype(np.int64) + (here << 32)))
-            stars.append((a[own[1:]], least[1:], m[own[1:]], size0[1:]))
-    none = pa.nulls(len(meeting), pa.int64())
-    out = [tallied(found, 1), tallied(stars, 0), pa.table([pa.array(meeting), none, none, none, none, pa.array(times)], schema=PAIRS)]
-    if members:
-        big = [pa.array(np.concatenate(c)) for c in zip(*members, strict=True)]
-        out.append(pa.table([*big, pa.nulls(len(big[0]), pa.int64())], schema=PAIRS))
-    return pa.concat_tables(out)
-
-
-def least_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many shingles the prefixes of alike sets of these sizes share at least, less one for shingles of equal digits."""
-    least = (PERCENT * (a + b) + 99 + PERCENT) // (100 + PERCENT)
-    return np.maximum(np.minimum(*(1 - (PERCENT * n + 99) // 100 + least for n in (a, b))) - 1, 1)
-
-
-def needed() -> Column:
-    """least_shared of the columns nx and ny."""
-    least = F.expr(f"({PERCENT} * (nx + ny) + {99 + PERCENT}) div {100 + PERCENT}")
-    spare = lambda n: F.expr(f"1 - ({PERCENT} * {n} + 99) div 100") + least  # noqa: E731  prefix - n + least
-    return F.greatest(F.least(spare("nx"), spare("ny")) - 1, F.lit(1))
-
-
-SEGMENTS = "s long, f int, places array<long>"
-
-
-def segments(seed: int, last: np.ndarray, fragments: int):
-    """The sets of the asked texts, cut at fixed places of the global order. The frequent shingles are the last fragment."""
+        j = i + step
+        low = a[i] < a[j]
+        pairs.append((np.where(low, a[i], a[j]), np.where(low, a[j], a[i]), np.where(low, m[i], m[j]), np.where(low, m[j], m[i])))
+    members = []
+    for at, many in zip(begin[count > SMALL].tolist(), count[count > SMALL].tolist(), strict=True):
+        # Sorted by size. A lead's unit reaches two bands of like size, so the partners of all of its own band are there.
+        end, sizes = at + many, n[at : at + many]
+        while at < end:
+            first = end - len(sizes)
+            own, wide = (first + int(np.searchsorted(sizes, least, side="right")) for least in (n[at] * 100 // PERCENT, n[at] * 10000 // PERCENT**2))
+            if wide - at > 1:
+                members.append((s[at:wide], np.full(wide - at, s[at]), n[at:wide], np.full(wide - at, n[at])))
+            at = own
+    return pa.concat_tables([tallied(PAIR, pairs), tallied(MEMBER, members), said(MEETS, meeting, a=times, b=large)])
+
+
+def needed(a: str, b: str) -> Column:
+    """How many shingles the prefixes of alike sets of these sizes share at least."""
+    least = F.expr(f"({PERCENT} * ({a} + {b}) + {99 + PERCENT}) div {100 + PERCENT}")
+    return F.greatest(1 - F.expr(f"({PERCENT} * greatest({a}, {b}) + 99) div 100") + least, F.lit(1))
+
+
+def units(met: DataFrame) -> DataFrame:
+    """(c, s, n): the members of the units, c being the unit's name. Units of one member are left out."""
+    total = materialise(met.filter(F.col("kind") == MEETS).groupBy("x").agg(F.sum("a").alias("total"), F.sum("b").alias("large")), "join-meets")
+    pairs = met.filter(F.col("kind") == PAIR).groupBy("x", "y").agg(F.max("nx").alias("nx"), F.max("ny").alias("ny"), F.sum("a").alias("shared"))
+    # What a pair shares in large groups is not counted: at most as many as either end has there.
+    ends = pairs.join(total.select("x", F.col("large").alias("lx")), "x").join(total.select(F.col("x").alias("y"), F.col("large").alias("ly")), "y")
+    asked = ends.filter(F.col("shared") + F.least("lx", "ly") >= needed("nx", "ny"))
+    asked = asked.select(F.col("x").alias("c"), F.explode(F.array(F.struct(F.col("x").alias("s"), F.col("nx").alias("n")), F.struct(F.col("y").alias("s"), F.col("ny").alias("n")))).alias("r"))
+    star = met.filter(F.col("kind") == MEMBER).groupBy(F.col("y").alias("c"), "x").agg(F.max("nx").alias("n")).join(total.select("x", "total"), "x")
+    # Sizes in classes of an eighth of the widest like range: with the extremes of a class, what the least demanding partner there asks for.
+    star = materialise(star.withColumn("class", F.floor(F.log("n") * (8 / np.log(100 / PERCENT))).cast("int")), "join-star")
+    classes = star.groupBy("c", "class").agg(F.max("total").alias("most"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("many"))
+    classes = classes.select(F.col("c").alias("c2"), F.col("class").alias("class2"), "most", "lo", "hi", "many")
+    low, high = f"greatest(lo, ({PERCENT} * n + 99) div 100)", f"least(hi, 100 * n div {PERCENT})"
+    reach = F.least("total", "most") >= F.least(needed("n", f"least({low}, n)"), needed("n", f"greatest({high}, n)") - 1)
+    like = (F.col("c") == F.col("c2")) & (F.abs(F.col("class") - F.col("class2")) <= 9) & ((F.col("class") != F.col("class2")) | (F.col("many") > 1))
+    star = star.join(classes, like & F.expr(f"{low} <= {high}") & reach, "left_semi").select("c", F.col("x").alias("s"), "n")
+    out = materialise(asked.select("c", "r.s", "r.n").union(star).groupBy("c", "s").agg(F.max("n").alias("n")), "join-members")
+    drop(total)
+    return out
+
+
+SHIPPED = "units array<struct<c:long,parts:int,bin:long>>, s long, places array<long>"
+
+
+def ship(seed: int, last: np.ndarray):
+    """The sets of the asked texts, in the global order, with the units that they go to. k: the node and its units."""
 
     def run(batches):
-        def asked():
+        kind = None
+
+        def typed():
+            nonlocal kind
             for b in batches:
-                want.extend(b.column("s").to_pylist())
+                kind = b.schema.field("k").type.field("units").type
                 yield b
 
-        want: list[int] = []
-        for keys, _, doc, values in sets(asked()):
+        for keys, sizes, doc, values in sets(typed()):
             s = identity(doc, values, len(keys), seed).view(np.int64)
-            mine, want[: len(keys)] = np.array(want[: len(keys)]), []
             place, doc = ordered(values, doc, last)
-            cut = np.where(place >> np.uint64(63), fragments - 1, (place >> np.uint64(32)).astype(np.int64) * (fragments - 1) >> 31)
-            key = doc * fragments + cut
-            at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(key)).astype(np.int32)), pa.array(place.view(np.int64)))
-            of = doc[at]
-            out = pa.RecordBatch.from_arrays([pa.array(s[of]), pa.array(cut[at].astype(np.int32)), lists], names=["s", "f", "places"])
-            yield out.filter(pa.array(mine[of] == s[of]))
+            ends = np.cumsum(sizes)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(place.view(np.int64)))
+            out = pa.RecordBatch.from_arrays([pa.array([k["units"] for k in keys], kind), pa.array(s), lists], names=["units", "s", "places"])
+            yield out.filter(pa.array(s == np.array([k["s"] for k in keys], dtype=np.int64)))
 
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, seed: int, last: np.ndarray, fragments: int = FRAGMENTS) -> DataFrame:
-    """pairs (x, y, nx, ny) with shared, the size of the intersection: counted per fragment, summed per pair."""
-    ends = pairs.select(F.col("x").alias("s")).union(pairs.select("y")).distinct()
-    one = materialise(nodes.filter("k is not null").join(ends, "s").groupBy("s").agg(F.min("k").alias("k")), "join-asked")
-    one = F.broadcast(one) if one.count() <= 1_000_000 else one
-    cut = docs.join(one, "k").select("k", "text", "s").mapInArrow(segments(seed, last, fragments), SEGMENTS)
-    cut = materialise(cut, "join-segments")
-    left = pairs.select("x", "y").join(cut.select(F.col("s").alias("x"), "f", F.col("places").alias("px")), "x")
-    both = left.join(cut.select(F.col("s").alias("y"), "f", F.col("places").alias("py")), ["y", "f"])
-    part = both.select("x", "y", "f", F.size(F.array_intersect("px", "py")).cast("long").alias("c"))
-    sums = part.groupBy("x", "y", "f").agg(F.max("c").alias("c")).groupBy("x", "y").agg(F.sum("c").alias("shared"))
-    return pairs.join(sums, ["x", "y"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
-
-
-def across(t: pa.Table) -> pa.Table:
-    """Pairs of one block of a large group that lie in different components and could still be alike."""
-    x, n, least, label, far, first, last, total = (t.column(c).to_numpy() for c in ("s", "n", "least", "label", "far", "b1", "b2", "total"))
-    mine = t.column("mine").to_numpy()
-    known = ~np.isnan(far)
-    out = []
-    left = np.flatnonzero(mine == first)
-    right = left if first[0] == last[0] else np.flatnonzero(mine == last)
-    for i in left:
-        ok = (label[right] != label[i]) & near_sizes(n[right], n[i])
-        ok &= np.minimum(total[right], total[i]) >= least_shared(n[right], n[i])
-        ok &= ~(known[right] & known[i] & (least[right] == least[i]) & (np.abs(np.where(known[right], far[right], 0) - (far[i] if known[i] else 0)) > 1 - PERCENT / 100 + 1e-9))
-        j = right[ok]
-        if len(j):
-            out.append(np.stack([np.minimum(x[i], x[j]), np.maximum(x[i], x[j]), np.where(x[i] < x[j], n[i], n[j]), np.where(x[i] < x[j], n[j], n[i])]))
-    if not out:
-        return PAIRS.empty_table()
-    both = np.concatenate(out, axis=1)
-    return pa.table([*[pa.array(c) for c in np.ascontiguousarray(both)], pa.nulls(both.shape[1], pa.int64()), pa.array(np.ones(both.shape[1], np.int64))], schema=PAIRS)
-
-
-def block_links(t: pa.Table) -> pa.Table:
-    """How many nodes of the other block each node of two blocks of a component is alike to; for one block, how many of its own."""
-    s, mine, first, last = (t.column(c).to_numpy() for c in ("s", "mine", "b1", "b2"))
-    places = t.column("places").combine_chunks()
-    n = places.value_lengths().to_numpy().astype(np.int64)
-    one = first[0] == last[0]
-    left = np.flatnonzero(mine == first)
-    right = left if one else np.flatnonzero(mine == last)
-    row, code = np.repeat(np.arange(len(s)), n), np.unique(places.flatten().to_numpy(), return_inverse=True)[1]
-    size = int(code.max(initial=-1)) + 1
-    of_left = np.zeros(len(s), dtype=bool)
-    of_left[left] = True
-    here = np.bincount(code[of_left[row]], minlength=size)
-    both = here > 1 if one else (here > 0) & (np.bincount(code[~of_left[row]], minlength=size) > 0)
-    row, code = row[both[code]], (np.cumsum(both) - 1)[code[both[code]]]
+def overlaps(row: np.ndarray, code: np.ndarray, size: int, left: np.ndarray, right: np.ndarray, rows: int) -> np.ndarray:
+    """Sizes of the intersections of the sets of left and right. row, code: members of the sets by code; counted fragment by fragment of the codes."""
+    shared = np.zeros((len(left), len(right)), dtype=np.int32)
     order = np.argsort(code, kind="stable")
     row, code = row[order], code[order]
-    shared = np.zeros((len(left), len(right)), dtype=np.int64)
-    for begin in range(0, int(both.sum()), COLUMNS):
+    for begin in range(0, size, COLUMNS):
         a, b = np.searchsorted(code, [begin, begin + COLUMNS])
-        has = np.zeros((len(s), COLUMNS), dtype=np.float32)
+        has = np.zeros((rows, min(COLUMNS, size - begin)), dtype=np.float32)
         has[row[a:b], code[a:b] - begin] = 1
-        shared += (has[left] @ has[right].T).astype(np.int64)
-    alike = 100 * shared >= PERCENT * (n[left][:, None] + n[right][None, :] - shared)
-    links = np.zeros(len(s), dtype=np.int64)
-    if one:
-        np.fill_diagonal(alike, False)
-    else:
-        links[right] = alike.sum(axis=0)
-    links[left] = alike.sum(axis=1)
-    return pa.table([pa.array(s), pa.array(links)], names=["s", "links"])
-
-
-def counted_links(members: DataFrame, labels: DataFrame, docs: DataFrame, nodes: DataFrame, seed: int, last: np.ndarray) -> DataFrame:
-    """(s, links) of all nodes of the components of three nodes or more that have members in large groups. labels: of all links' ends."""
-    touched = members.select(F.col("x").alias("v")).distinct().join(labels, "v").select("label").distinct()
-    one = nodes.filter("k is not null").groupBy("s").agg(F.min("k").alias("k"), F.max("n").alias("n"))
-    of = materialise(labels.join(touched, "label").select(F.col("v").alias("s"), "label").join(one, "s"), "join-blocks")
-    parts = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES))
-    of = of.join(of.groupBy("label").agg(F.least(parts, F.count("*")).cast("int").alias("parts"), F.count("*").alias("size")).filter("size > 2"), "label")
-    asked = materialise(of.select("s", "k", "label", "parts"), "join-blocks")
-    few = asked.select("k", "s")
-    few = F.broadcast(few) if few.count() <= 1_000_000 else few
-    sets_ = docs.join(few, "k").select("k", "text", "s").mapInArrow(segments(seed, last, 1), SEGMENTS).select("s", "places").dropDuplicates(["s"])
-    rows = sets_.join(asked.select("s", "label", "parts"), "s").withColumn("mine", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("label", "s", "places", "mine", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"))
-    found = rows.groupBy("label", "b1", "b2").applyInArrow(block_links, "s long, links long")
-    return materialise(found.groupBy("s").agg(F.sum("links").alias("links")), "join-counted")
+        shared += (has[left] @ has[right].T).astype(np.int32)
+    return shared
 
 
-def jaccard_components(docs: DataFrame, key: str, text: str, count_links: bool = True) -> DataFrame:
-    """One row for each row of docs: the key, n_shingles, component_id (least key reachable by links), n_links (of its set).
+def links_of(s: np.ndarray, mine: np.ndarray, own: list[np.ndarray], other: list[np.ndarray], first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each node of one or two blocks of a unit: number of links, and number of a node that it is connected to.
 
-    count_links: without it there is no n_links, and no links are looked for that components do not need.
+    own: the nodes' sets in the global order; other: the units before this one that they are in as well.
     """
-    spark = docs.sparkSession
+    m, n = len(s), np.array([len(p) for p in own])
+    left = np.flatnonzero(mine == first)
+    right = left if first == last else np.flatnonzero(mine == last)
+    row, place = np.repeat(np.arange(m), n), np.concatenate(own)
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    new = np.concatenate([[True], place[1:] != place[:-1]])
+    begin = np.flatnonzero(new)
+    many = np.diff(np.append(begin, len(place)))
+    met = np.repeat(many > 1, many)
+    code = np.cumsum(new[met]) - 1
+    shared = overlaps(row[met], code, int(code[-1]) + 1 if len(code) else 0, left, right, m)
+    alike = 100 * shared.astype(np.int64) >= PERCENT * (n[left][:, None] + n[right][None, :] - shared)
+    if first == last:
+        np.fill_diagonal(alike, False)
+    if any(map(len, other)) and alike.any():
+        before, code = np.unique(np.concatenate(other), return_inverse=True)
+        alike &= overlaps(np.repeat(np.arange(m), [len(o) for o in other]), code, len(before), left, right, m) == 0
+    links = np.zeros(m, dtype=np.int64)
+    links[left] += alike.sum(axis=1)
+    if first != last:
+        links[right] += alike.sum(axis=0)
+    whole = np.zeros((m, m), dtype=bool)
+    whole[np.ix_(left, right)] = alike
+    whole |= whole.T
+    root = np.full(m, -1)
+    for i in np.flatnonzero(links):
+        if root[i] < 0:
+            front = np.array([i])
+            while len(front):
+                root[front] = i
+                front = np.flatnonzero(whole[front].any(axis=0) & (root < 0))
+    return links, root
+
+
+def unit_links(t: pa.Table) -> pa.Table:
+    """Links of the nodes (s, root, links) of a bin of whole units, or of one or two blocks of a unit; nodes without links are left out."""
+    c, s, mine, first, last = (t.column(x).to_numpy() for x in ("c", "s", "mine", "b1", "b2"))
+    places, earlier = t.column("places").combine_chunks(), t.column("earlier").combine_chunks()
+    data, off = places.flatten().to_numpy(), np.append(0, np.cumsum(places.value_lengths().to_numpy()))
+    units_, uoff = earlier.flatten().to_numpy(), np.append(0, np.cumsum(earlier.value_lengths().to_numpy()))
+    order = np.lexsort((s, c))
+    c, s, mine = c[order], s[order], mine[order]
+    once = np.concatenate([[True], (c[1:] != c[:-1]) | (s[1:] != s[:-1])])
+    order, c, s, mine = order[once], c[once], s[once], mine[once]
+    begin = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+    out = [(np.empty(0, np.int64),) * 3]
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(c)], strict=True):
+        if b - a < 2:
+            continue
+        rows = order[a:b]
+        own, other = [data[off[i] : off[i + 1]] for i in rows], [units_[uoff[i] : uoff[i + 1]] for i in rows]
+        links, root = links_of(s[a:b], mine[a:b], own, other, max(first[0], 0), max(last[0], 0))
+        at = np.flatnonzero(links)
+        if len(at):
+            out.append((s[a:b][at], s[a:b][root[at]], links[at]))
+    return pa.table([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["s", "root", "links"])
+
+
+def linked(members: DataFrame, docs: DataFrame, nodes: DataFrame, seed: int, last: np.ndarray) -> DataFrame:
+    """(s, root, links): how many links each node has in each block of its units, and a node that it is connected to."""
+    parts = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES))
+    sizes = members.groupBy("c").agg(F.count("*").alias("many"), F.sum("n").alias("volume"), F.least(parts, F.count("*")).cast("int").alias("parts"))
+    sizes = materialise(sizes.filter("many > 1"), "join-units")
+    bins = max(SLOTS, -(-(sizes.filter("parts = 1").agg(F.sum("volume")).first()[0] or 0) // BLOCK_SHINGLES))
+    # Small units share a bin (b1 = -1).
+    of = members.join(sizes, "c").select("s", F.struct("c", "parts", F.pmod(F.xxhash64("c"), F.lit(bins)).alias("bin")).alias("u"))
+    of = of.groupBy("s").agg(F.collect_list("u").alias("units"))
+    one = nodes.filter("k is not null").groupBy("s").agg(F.min("k").alias("k"))
+    asked = materialise(of.join(one, "s").select("k", F.struct("s", "units").alias("to")), "join-asked")
+    few = asked.agg(F.sum(F.size("to.units") + 2)).first()[0] or 0
+    few = F.broadcast(asked) if few <= 1_000_000 else asked
+    shipped = docs.join(few, "k").select(F.col("to").alias("k"), "text").mapInArrow(ship(seed, last), SHIPPED)
+    rows = shipped.select("s", "places", "units", F.explode("units").alias("u")).select("s", "places", "u.*", F.transform(F.filter("units", lambda v: v["c"] < F.col("u.c")), lambda v: v["c"]).alias("earlier"))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    small = F.col("parts") == 1
+    rows = rows.select(
+        F.when(small, F.col("bin")).otherwise(F.col("c")).alias("u"), F.when(small, -1).otherwise(F.least("mine", "other")).alias("b1"), F.when(small, -1).otherwise(F.greatest("mine", "other")).alias("b2"),
+        "c", "s", "mine", "earlier", "places",
+    )
+    out = materialise(rows.groupBy("u", "b1", "b2").applyInArrow(unit_links, "s long, root long, links long"), "join-linked")
+    drop(sizes, asked)
+    return out
+
+
+def jaccard_components(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """One row for each row of docs: the key, n_shingles, component_id (least key reachable by links), n_links (different sets linked with its own)."""
     docs = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("text"))
-    slots, seed = 2 * partitions(spark), 21
+    bounded_batches(docs.sparkSession)
+    seed = 21
     while True:
         seen = materialise(docs.mapInArrow(profile(seed), "k long, n long, s long, s2 long, shingle long, times long"), "join-profile")
         nodes = seen.filter("shingle is null").select("k", "n", "s", "s2")
@@ -348,30 +378,14 @@ def jaccard_components(docs: DataFrame, key: str, text: str, count_links: bool =
     top = counts.orderBy(F.col("times").desc(), "shingle").limit(FREQUENT).collect()
     last = np.array([(r.shingle % (1 << 64), FREQUENT - i) for i, r in enumerate(top)], dtype=np.uint64).reshape(-1, 2)
     last = last[np.argsort(last[:, 0])]
-    met = materialise(docs.mapInArrow(prefixes(seed, last, slots), DDL).groupBy("slot").applyInArrow(candidates, PAIR), "join-met")
-    cut = lambda df: materialise(df, "join-labels")
-    pairs = met.filter("t is null and y is not null").groupBy("x", "y").agg(F.max("nx").alias("nx"), F.max("ny").alias("ny"), F.sum("shared").alias("shared"))
-    pairs = materialise(pairs, "join-pairs")
-    # What a pair shares in large groups is not counted yet: at most as many as either end has there.
-    busy = met.filter("t is not null").groupBy("x").agg(F.count("*").alias("busy"))
-    unseen = F.least(F.coalesce("bx", F.lit(0)), F.coalesce("by", F.lit(0)))
-    asked = pairs.filter(F.col("shared") >= needed())
-    open_ = pairs.filter(F.col("shared") < needed()).join(busy.withColumnRenamed("busy", "bx"), "x").join(busy.select(F.col("x").alias("y"), F.col("busy").alias("by")), "y")
-    asked = asked.select("x", "y", "nx", "ny").unionByName(open_.filter(F.col("shared") + unseen >= needed()).select("x", "y", "nx", "ny"))
-    checked = materialise(verified(materialise(asked, "join-asked-pairs"), docs, nodes, seed, last), "join-checked")
-    alike = 100 * F.col("shared") >= PERCENT * (F.col("nx") + F.col("ny") - F.col("shared"))
-    links = checked.filter(alike).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    labels = least_labels(links, cut)
-    total = met.filter("t is null and y is null").groupBy("x").agg(F.sum("shared").alias("total"))
-    more = _leftovers(met.filter("t is not null"), labels, checked, pairs, total)
-    if more is not None:
-        again = materialise(verified(more, docs, nodes, seed, last), "join-checked")
-        links = materialise(links.union(again.filter(alike).select("x", "y")), "join-links")
-        labels = least_labels(links, cut)
-    degree = links.select(F.col("a").alias("s")).union(links.select("b")).groupBy("s").agg(F.count("*").alias("n_links"))
-    if count_links:
-        exact = counted_links(met.filter("t is not null"), labels, docs, nodes, seed, last)
-        degree = degree.join(exact, "s", "left").select("s", F.coalesce("links", "n_links").alias("n_links"))
+    records = nodes.agg(F.sum(F.expr(f"n - ({PERCENT} * n + 99) div 100 + 1"))).first()[0] or 0
+    slots = max(SLOTS, -(-records // RECORDS))
+    met = materialise(docs.mapInArrow(prefixes(seed, last, slots), DDL).groupBy("slot").applyInArrow(candidates, MET), "join-met")
+    members = units(met)
+    found = linked(members, docs, nodes, seed, last)
+    drop(met, members)
+    labels = least_labels(found.filter("s <> root").select(F.col("s").alias("a"), F.col("root").alias("b")), lambda df: materialise(df, "join-labels"))
+    degree = found.groupBy("s").agg(F.sum("links").alias("n_links"))
     known = nodes.filter("k is not null and n > 0").groupBy("s").agg(F.min("k").alias("least"))
     known = known.join(labels.select(F.col("v").alias("s"), "label"), "s", "left").join(degree, "s", "left")
     known = known.withColumn("label", F.coalesce("label", "s"))
@@ -380,33 +394,8 @@ def jaccard_components(docs: DataFrame, key: str, text: str, count_links: bool =
     rows = nodes.withColumn("j", F.when((F.col("n") > 0) & F.col("k").isNotNull(), F.col("s")))
     full = rows.filter("j is not null").join(known, "s").select("k", "n", "component", "n_links")
     rest = rows.filter("j is null").select("k", "n", F.col("k").alias("component"), F.lit(None).cast("long").alias("n_links"))
-    out = [F.col("k").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")]
-    return full.unionByName(rest).select(*out, *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if count_links else []))
-
-
-def _leftovers(members: DataFrame, labels: DataFrame, checked: DataFrame, counted: DataFrame, total: DataFrame) -> DataFrame | None:
-    """Candidate pairs across the components of large groups (t, x, y = least node of its size band), not yet checked."""
-    g = members.select("t", F.col("x").alias("s"), F.col("y").alias("least"), F.col("nx").alias("n"))
-    g = g.join(labels.select(F.col("v").alias("s"), "label"), "s", "left").withColumn("label", F.coalesce("label", "s"))
-    split = g.groupBy("t").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("size")).filter("a <> b")
-    g = g.join(split.select("t", "size"), "t")
-    g = materialise(g.join(total.withColumnRenamed("x", "s"), "s"), "join-left")
-    if not g.head(1):
-        return None
-    gone = checked.select("x", "y", (1 - F.col("shared") / (F.col("nx") + F.col("ny") - F.col("shared"))).alias("far"))
-    ends = g.withColumns({"x": F.least("s", "least"), "y": F.greatest("s", "least")}).join(gone, ["x", "y"], "left")
-    parts = F.ceil(F.col("size") / PART).cast("int")
-    ends = ends.select("t", "s", "n", "least", "label", F.when(F.col("s") == F.col("least"), F.lit(0.0)).otherwise(F.coalesce("far", F.lit(float("nan")))).alias("far"), "total", parts.alias("parts"))
-    ends = ends.withColumn("mine", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int"))
-    ends = ends.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    ends = ends.select("t", "s", "n", "least", "label", "far", "total", "mine", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"))
-    pairs = ends.groupBy("t", "b1", "b2").applyInArrow(across, PAIR)
-    # A pair across components came once for each shingle of a large group that it shares.
-    pairs = pairs.groupBy("x", "y").agg(F.max("nx").alias("nx"), F.max("ny").alias("ny"), F.sum("shared").alias("large"))
-    pairs = pairs.join(counted.select("x", "y", "shared"), ["x", "y"], "left").filter(F.col("large") + F.coalesce("shared", F.lit(0)) >= needed())
-    pairs = pairs.select("x", "y", "nx", "ny").join(checked.select("x", "y"), ["x", "y"], "left_anti")
-    pairs = materialise(pairs, "join-more")
-    return pairs if pairs.head(1) else None
+    full = full.unionByName(rest)
+    return full.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def op3_ngram_join(spark, sf_dir):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, table
+from .common import bounded_batches, table
 from .features import STEPS, STYLES, styles, trigrams
 from .words import blocks
 
@@ -90,7 +90,7 @@ def held_out(key: Column, folds: int = FOLDS) -> Column:
 def nearest_votes(docs: DataFrame, key: str, text: str, labels: DataFrame, label: str, sample: int = SAMPLE, near: int = NEAR) -> DataFrame:
     """One row for each document: the key, held_out, score. labels: the key and a label of 0 or 1."""
     rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    partitions(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     counts = rows.mapInArrow(frequencies, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
     found = {r.feature: r.n for r in counts}
     idf = np.log((1 + found.get(-1, 0)) / (1 + np.array([found.get(i, 0) for i in range(WIDTH)], dtype=np.float64))).astype(np.float32) + np.float32(0.1)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytesops import Spans, mix
-from .common import partitions, table
+from .common import bounded_batches, table
 from .words import _GAP, BLOCK, blocks
 
 SHORTEST, COVERED, LONGEST = 5, 0.3, 60
@@ -148,7 +148,7 @@ def measure(shortest: int):
 
 def repetition_rules(docs: DataFrame, key: str, text: str, shortest: int = SHORTEST, covered: float = COVERED, longest: int = LONGEST) -> DataFrame:
     """One row for each document: the key, the base counts, covered_words, longest_repeat, base_failed, kept."""
-    partitions(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("text"))
     out = rows.mapInArrow(measure(shortest), "k long, " + ", ".join(f"{f} long" for f in FIELDS))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

@@ -69,11 +69,11 @@ def test_ngram_join(docs, rows, empty):
     assert ngram_join.jaccard_components(empty, "doc_id", "text").count() == 0
 
 
-@pytest.mark.parametrize("small,part", [(2, 3), (64, 2000)])
-def test_ngram_join_of_large_groups(spark, monkeypatch, small, part):
+@pytest.mark.parametrize("small,block", [(2, 3), (64, 1000)])
+def test_ngram_join_of_large_groups(spark, monkeypatch, small, block):
     """Many near copies at growing distance, whose ends are not alike, among texts that share their shingles."""
     monkeypatch.setattr(ngram_join, "SMALL", small)
-    monkeypatch.setattr(ngram_join, "PART", part)
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", block)
     base = [f"w{i}" for i in range(80)]
     rows = []
     for i in range(24):
