@@ -7,8 +7,9 @@ hash. Texts of one set are one node from the start.
    that their sizes ask for, at least min(p - n + a) over the two. The global order of those prefixes is cut into fragments; each receiver
    counts for its fragment what two nodes share, and the sum per pair must reach that number. Where more than `SMALL` nodes meet at one
    shingle no pairs are formed: the nodes join the unit of the group's least node of like size.
-2. A unit is a node with those that it may be linked with (or whose links the unit shall find). A member of a large group stays in
-   a unit only if its shared prefix shingles could reach what some size present there asks for.
+2. A unit is a node with those that it may be linked with (or whose links the unit shall find). A member of large groups stays in
+   a unit only if what it could share with some other member there, summed over the units of both, reaches what their sizes ask for, and
+   this is the unit where the two share most.
 3. Whole sets go to their units, large units in blocks of nodes, each two blocks to one task. There the global order is cut again; the
    overlaps of each fragment are counted for all pairs at once by a matrix product, and the sum over the fragments is the exact
    intersection. A pair of two common units counts in the first. Only a row for each linked node leaves a block: how many links it has, and
@@ -211,25 +212,86 @@ def needed(a: str, b: str) -> Column:
     return F.greatest(1 - F.expr(f"({PERCENT} * greatest({a}, {b}) + 99) div 100") + least, F.lit(1))
 
 
+def dealt(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """rows (c, parts, bin, s, …) by (u, b1, b2): small units share a bin (b1 = -1), of larger ones each two blocks meet."""
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    small = F.col("parts") == 1
+    u, b1, b2 = F.when(small, F.col("bin")).otherwise(F.col("c")), F.when(small, -1).otherwise(F.least("mine", "other")), F.when(small, -1).otherwise(F.greatest("mine", "other"))
+    return rows.select(u.alias("u"), b1.alias("b1"), b2.alias("b2"), "c", "s", "mine", *columns)
+
+
+def by_unit(t: pa.Table):
+    """For each unit of a bin (or the one of two blocks): its name, its rows in t, their nodes, and which are of the first and of the second block."""
+    c, s, mine, first, last = (t.column(x).to_numpy() for x in ("c", "s", "mine", "b1", "b2"))
+    order = np.lexsort((s, c))
+    c, s, mine = c[order], s[order], mine[order]
+    once = np.concatenate([[True], (c[1:] != c[:-1]) | (s[1:] != s[:-1])])
+    order, c, s, mine = order[once], c[once], s[once], mine[once]
+    begin = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(c)], strict=True):
+        if b - a > 1:
+            left = np.flatnonzero(mine[a:b] == max(first[0], 0))
+            yield c[a], order[a:b], s[a:b], left, left if first[0] == last[0] else np.flatnonzero(mine[a:b] == last[0])
+
+
+def lists_of(t: pa.Table, column: str) -> list[np.ndarray]:
+    lists = t.column(column).combine_chunks()
+    return np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+
+
+def partners(t: pa.Table) -> pa.Table:
+    """Members (c, s, n) of units that could be linked with another member, and whose links with that one this unit shall find.
+
+    A pair shares at most min(times of the one, times of the other) in each unit of both, and of these units the one where that is most
+    shall find the link. Pairs that meet in small groups as well are not needed here: they are units of their own.
+    """
+    n, places, times = t.column("n").to_numpy(), lists_of(t, "units"), lists_of(t, "times")
+    out = [(np.empty(0, np.int64),) * 3]
+    for c, rows, s, left, right in by_unit(t):
+        of, unit = np.repeat(np.arange(len(rows)), [len(places[i]) for i in rows]), np.concatenate([places[i] for i in rows])
+        many = np.concatenate([times[i] for i in rows])
+        order = np.argsort(unit, kind="stable")
+        of, unit, many = of[order], unit[order], many[order]
+        begin = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
+        most, best, here = (np.zeros((len(left), len(right)), dtype=np.int64) for _ in range(3))
+        row_of, column_of = np.full(len(rows), -1), np.full(len(rows), -1)
+        row_of[left], column_of[right] = np.arange(len(left)), np.arange(len(right))
+        for i, j in zip(begin.tolist(), [*begin[1:].tolist(), len(unit)], strict=True):
+            x, y, z = row_of[of[i:j]], column_of[of[i:j]], many[i:j]
+            at = np.ix_(x[x >= 0], y[y >= 0])
+            both = np.minimum.outer(z[x >= 0], z[y >= 0])
+            most[at] += both
+            more = both > best[at]
+            best[at], here[at] = np.where(more, both, best[at]), np.where(more, unit[i] == c, here[at])
+        a, b = n[rows[left]][:, None], n[rows[right]][None, :]
+        far = np.maximum(a, b)
+        asked = np.maximum(1 - (PERCENT * far + 99) // 100 + (PERCENT * (a + b) + 99 + PERCENT) // (100 + PERCENT), 1)
+        hit = (here > 0) & (most >= asked) & (100 * np.minimum(a, b) >= PERCENT * far) & (left[:, None] != right[None, :])
+        found = np.union1d(left[hit.any(axis=1)], right[hit.any(axis=0)])
+        out.append((np.full(len(found), c), s[found], n[rows[found]]))
+    return pa.table([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["c", "s", "n"])
+
+
 def units(met: DataFrame) -> DataFrame:
-    """(c, s, n): the members of the units, c being the unit's name. Units of one member are left out."""
-    total = materialise(met.filter(F.col("kind") == MEETS).groupBy("x").agg(F.sum("a").alias("total"), F.sum("b").alias("large")), "join-meets")
+    """(c, s, n): the members of the units, c being the unit's name."""
+    large = met.filter(F.col("kind") == MEETS).groupBy("x").agg(F.sum("b").alias("large"))
+    large = materialise(large.filter("large > 0"), "join-meets")
     pairs = met.filter(F.col("kind") == PAIR).groupBy("x", "y").agg(F.max("nx").alias("nx"), F.max("ny").alias("ny"), F.sum("a").alias("shared"))
     # What a pair shares in large groups is not counted: at most as many as either end has there.
-    ends = pairs.join(total.select("x", F.col("large").alias("lx")), "x").join(total.select(F.col("x").alias("y"), F.col("large").alias("ly")), "y")
-    asked = ends.filter(F.col("shared") + F.least("lx", "ly") >= needed("nx", "ny"))
+    ends = pairs.join(large.select("x", F.col("large").alias("lx")), "x", "left").join(large.select(F.col("x").alias("y"), F.col("large").alias("ly")), "y", "left")
+    unseen = F.coalesce(F.least(F.coalesce("lx", F.lit(0)), F.coalesce("ly", F.lit(0))), F.lit(0))
+    asked = ends.filter(F.col("shared") + unseen >= needed("nx", "ny"))
     asked = asked.select(F.col("x").alias("c"), F.explode(F.array(F.struct(F.col("x").alias("s"), F.col("nx").alias("n")), F.struct(F.col("y").alias("s"), F.col("ny").alias("n")))).alias("r"))
-    star = met.filter(F.col("kind") == MEMBER).groupBy(F.col("y").alias("c"), "x").agg(F.max("nx").alias("n")).join(total.select("x", "total"), "x")
-    # Sizes in classes of an eighth of the widest like range: with the extremes of a class, what the least demanding partner there asks for.
-    star = materialise(star.withColumn("class", F.floor(F.log("n") * (8 / np.log(100 / PERCENT))).cast("int")), "join-star")
-    classes = star.groupBy("c", "class").agg(F.max("total").alias("most"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("many"))
-    classes = classes.select(F.col("c").alias("c2"), F.col("class").alias("class2"), "most", "lo", "hi", "many")
-    low, high = f"greatest(lo, ({PERCENT} * n + 99) div 100)", f"least(hi, 100 * n div {PERCENT})"
-    reach = F.least("total", "most") >= F.least(needed("n", f"least({low}, n)"), needed("n", f"greatest({high}, n)") - 1)
-    like = (F.col("c") == F.col("c2")) & (F.abs(F.col("class") - F.col("class2")) <= 9) & ((F.col("class") != F.col("class2")) | (F.col("many") > 1))
-    star = star.join(classes, like & F.expr(f"{low} <= {high}") & reach, "left_semi").select("c", F.col("x").alias("s"), "n")
-    out = materialise(asked.select("c", "r.s", "r.n").union(star).groupBy("c", "s").agg(F.max("n").alias("n")), "join-members")
-    drop(total)
+    star = materialise(met.filter(F.col("kind") == MEMBER).groupBy(F.col("y").alias("c"), F.col("x").alias("s")).agg(F.max("nx").alias("n"), F.sum("a").alias("w")), "join-star")
+    sizes = star.groupBy("c").agg(F.count("*").alias("many")).filter("many > 1")
+    bins = max(SLOTS, star.count() // (20 * BLOCK_NODES))
+    sizes = sizes.select("c", F.ceil(F.col("many") / BLOCK_NODES).cast("int").alias("parts"), F.pmod(F.xxhash64("c"), F.lit(bins)).alias("bin"))
+    lists = star.groupBy("s").agg(F.collect_list(F.struct("c", "w")).alias("meets"))
+    rows = star.select("c", "s", "n").join(sizes, "c").join(lists.select("s", F.col("meets.c").alias("units"), F.col("meets.w").alias("times")), "s")
+    star = dealt(rows, ["n", "units", "times"]).groupBy("u", "b1", "b2").applyInArrow(partners, "c long, s long, n long")
+    out = materialise(asked.select("c", "r.s", "r.n").unionByName(star).groupBy("c", "s").agg(F.max("n").alias("n")), "join-members")
+    drop(large)
     return out
 
 
@@ -272,37 +334,29 @@ def overlaps(row: np.ndarray, code: np.ndarray, size: int, left: np.ndarray, rig
     return shared
 
 
-def links_of(s: np.ndarray, mine: np.ndarray, own: list[np.ndarray], other: list[np.ndarray], first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+def links_of(own: list[np.ndarray], other: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each node of one or two blocks of a unit: number of links, and number of a node that it is connected to.
 
     own: the nodes' sets in the global order; other: the units before this one that they are in as well.
     """
-    m, n = len(s), np.array([len(p) for p in own])
-    left = np.flatnonzero(mine == first)
-    right = left if first == last else np.flatnonzero(mine == last)
+    m, n = len(own), np.array([len(p) for p in own])
     row, place = np.repeat(np.arange(m), n), np.concatenate(own)
     order = np.argsort(place, kind="stable")
     row, place = row[order], place[order]
-    new = np.concatenate([[True], place[1:] != place[:-1]])
-    begin = np.flatnonzero(new)
+    begin = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     many = np.diff(np.append(begin, len(place)))
     met = np.repeat(many > 1, many)
-    code = np.cumsum(new[met]) - 1
-    shared = overlaps(row[met], code, int(code[-1]) + 1 if len(code) else 0, left, right, m)
+    code = np.repeat(np.arange(int((many > 1).sum())), many[many > 1])
+    shared = overlaps(row[met], code, int((many > 1).sum()), left, right, m)
     alike = 100 * shared.astype(np.int64) >= PERCENT * (n[left][:, None] + n[right][None, :] - shared)
-    if first == last:
-        np.fill_diagonal(alike, False)
+    alike &= left[:, None] != right[None, :]
     if any(map(len, other)) and alike.any():
         before, code = np.unique(np.concatenate(other), return_inverse=True)
         alike &= overlaps(np.repeat(np.arange(m), [len(o) for o in other]), code, len(before), left, right, m) == 0
-    links = np.zeros(m, dtype=np.int64)
-    links[left] += alike.sum(axis=1)
-    if first != last:
-        links[right] += alike.sum(axis=0)
     whole = np.zeros((m, m), dtype=bool)
     whole[np.ix_(left, right)] = alike
     whole |= whole.T
-    root = np.full(m, -1)
+    links, root = whole.sum(axis=1), np.full(m, -1)
     for i in np.flatnonzero(links):
         if root[i] < 0:
             front = np.array([i])
@@ -314,25 +368,12 @@ def links_of(s: np.ndarray, mine: np.ndarray, own: list[np.ndarray], other: list
 
 def unit_links(t: pa.Table) -> pa.Table:
     """Links of the nodes (s, root, links) of a bin of whole units, or of one or two blocks of a unit; nodes without links are left out."""
-    c, s, mine, first, last = (t.column(x).to_numpy() for x in ("c", "s", "mine", "b1", "b2"))
-    places, earlier = t.column("places").combine_chunks(), t.column("earlier").combine_chunks()
-    data, off = places.flatten().to_numpy(), np.append(0, np.cumsum(places.value_lengths().to_numpy()))
-    units_, uoff = earlier.flatten().to_numpy(), np.append(0, np.cumsum(earlier.value_lengths().to_numpy()))
-    order = np.lexsort((s, c))
-    c, s, mine = c[order], s[order], mine[order]
-    once = np.concatenate([[True], (c[1:] != c[:-1]) | (s[1:] != s[:-1])])
-    order, c, s, mine = order[once], c[once], s[once], mine[once]
-    begin = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+    places, earlier = lists_of(t, "places"), lists_of(t, "earlier")
     out = [(np.empty(0, np.int64),) * 3]
-    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(c)], strict=True):
-        if b - a < 2:
-            continue
-        rows = order[a:b]
-        own, other = [data[off[i] : off[i + 1]] for i in rows], [units_[uoff[i] : uoff[i + 1]] for i in rows]
-        links, root = links_of(s[a:b], mine[a:b], own, other, max(first[0], 0), max(last[0], 0))
+    for _, rows, s, left, right in by_unit(t):
+        links, root = links_of([places[i] for i in rows], [earlier[i] for i in rows], left, right)
         at = np.flatnonzero(links)
-        if len(at):
-            out.append((s[a:b][at], s[a:b][root[at]], links[at]))
+        out.append((s[at], s[root[at]], links[at]))
     return pa.table([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["s", "root", "links"])
 
 
@@ -342,7 +383,6 @@ def linked(members: DataFrame, docs: DataFrame, nodes: DataFrame, seed: int, las
     sizes = members.groupBy("c").agg(F.count("*").alias("many"), F.sum("n").alias("volume"), F.least(parts, F.count("*")).cast("int").alias("parts"))
     sizes = materialise(sizes.filter("many > 1"), "join-units")
     bins = max(SLOTS, -(-(sizes.filter("parts = 1").agg(F.sum("volume")).first()[0] or 0) // BLOCK_SHINGLES))
-    # Small units share a bin (b1 = -1).
     of = members.join(sizes, "c").select("s", F.struct("c", "parts", F.pmod(F.xxhash64("c"), F.lit(bins)).alias("bin")).alias("u"))
     of = of.groupBy("s").agg(F.collect_list("u").alias("units"))
     one = nodes.filter("k is not null").groupBy("s").agg(F.min("k").alias("k"))
@@ -351,14 +391,7 @@ def linked(members: DataFrame, docs: DataFrame, nodes: DataFrame, seed: int, las
     few = F.broadcast(asked) if few <= 1_000_000 else asked
     shipped = docs.join(few, "k").select(F.col("to").alias("k"), "text").mapInArrow(ship(seed, last), SHIPPED)
     rows = shipped.select("s", "places", "units", F.explode("units").alias("u")).select("s", "places", "u.*", F.transform(F.filter("units", lambda v: v["c"] < F.col("u.c")), lambda v: v["c"]).alias("earlier"))
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    small = F.col("parts") == 1
-    rows = rows.select(
-        F.when(small, F.col("bin")).otherwise(F.col("c")).alias("u"), F.when(small, -1).otherwise(F.least("mine", "other")).alias("b1"), F.when(small, -1).otherwise(F.greatest("mine", "other")).alias("b2"),
-        "c", "s", "mine", "earlier", "places",
-    )
-    out = materialise(rows.groupBy("u", "b1", "b2").applyInArrow(unit_links, "s long, root long, links long"), "join-linked")
+    out = materialise(dealt(rows, ["earlier", "places"]).groupBy("u", "b1", "b2").applyInArrow(unit_links, "s long, root long, links long"), "join-linked")
     drop(sizes, asked)
     return out
 
