@@ -102,3 +102,31 @@ def merged(group: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     at = np.flatnonzero(fresh)
     last = np.concatenate([at[1:] - 1, [len(start) - 1]])
     return group[at], start[at], reach[last] - lift[at]
+
+
+def radix_groups(data: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Most-significant-digit radix passes over the strings data[i : i + depth], i in at: digits are 8 bytes, the last one what is left.
+
+    Returns the strings (as places in at) that have an equal, group by group, and the number of each one's group. After each pass the strings
+    that stand alone leave; a group whose digits are all equal needs no sorting.
+    """
+    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    eight = np.zeros(len(data) + 1, dtype=np.uint64)
+    for i in range(8):
+        eight = (eight << np.uint64(8)) | padded[i : i + len(eight)]
+    live, group = np.arange(len(at)), np.zeros(len(at), dtype=np.int64)
+    for d in range(0, depth, 8):
+        if not len(live):
+            break
+        digit = eight[at[live] + d] >> np.uint64(max(0, 64 - 8 * (depth - d)))
+        begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        mixed = np.minimum.reduceat(digit, begin) != np.maximum.reduceat(digit, begin)
+        some = np.flatnonzero(np.repeat(mixed, np.diff(np.append(begin, len(live)))))
+        order = some[np.lexsort((digit[some], group[some]))]
+        live[some], digit[some] = live[order], digit[order]
+        new = np.concatenate([[True], (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])])
+        begin = np.flatnonzero(new)
+        many = np.diff(np.append(begin, len(live)))
+        keep = np.repeat(many > 1, many)
+        live, group = live[keep], np.repeat(np.arange(int((many > 1).sum())), many[many > 1])
+    return live, group

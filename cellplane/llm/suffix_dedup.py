@@ -4,18 +4,23 @@ A byte goes if a string of `threshold` bytes around it also starts earlier (smal
 ordered only through threshold bytes, most significant digit first, and a suffix that stands alone leaves the sort:
 
 1. Every string of threshold bytes (window) is led by its anchor, the 32-byte gram in it of least hash, which its bytes alone determine. So
-   equal windows have equal anchors at equal offsets, and one suffix in 32, the anchors', carries all windows. First digit: the anchor.
-2. Second digit: all the bytes of the windows that an anchor leads, with the anchor's place in them. In a group of equals all but the first
-   go whole; its first stands for it.
-3. Last digit: where one anchor leads different such strings, their bytes are fetched, and the windows themselves are compared.
+   equal windows have equal anchors at equal offsets, and one suffix in 32, the anchors', carries all windows. First digit: the 32 bytes of
+   the anchor, by which suffixes are dealt out. Anchors that are met once leave.
+2. The run of windows that an anchor leads is compared as a whole. In a group of equal runs all but the first go whole; its first stands
+   for it. Anchors with one run leave.
+3. Where one anchor leads different runs, their bytes are fetched, and their windows go through passes of 8-byte digits, up to threshold bytes;
+   what stands alone leaves after each pass. The groups that are left are exactly the repeated windows.
 
 Each sender packs what it holds for one receiver and drops what an earlier copy of its own decides, so a hot passage costs a
-sender one record. An anchor that a sender meets often with different surroundings is dealt out by its second digit instead, and
-its windows are compared by their own hash; a marker tells the anchor's usual receiver. Digits are compared as hashes of 96 bits
-or more.
+sender one record. An anchor that a sender meets often with different surroundings is dealt out by its runs instead, and
+its windows are compared by their own hash; a marker tells the anchor's usual receiver. The first digit is compared as a hash of 96
+bits, runs as one of 64 more, windows of hot anchors as one of 128. Receivers are as many as the bytes of all texts ask for
+(`VOLUME` each, `SLOTS` at least), whatever the session's partitions.
 
 Defined results: null texts count as empty. Rows that agree in key and text count as one document, and each row gets its result; rows
-of one key with different texts are ordered by a hash of the text. Null keys come first. An empty table gives an empty result.
+of one key with different texts are ordered by a hash of the text. Null keys come first; keys must be whole numbers or castable to such.
+Texts of any length are worked on whole, in overlapping pieces. Other columns are returned as they are, but for those named like the two new
+ones, which are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blobs import DDL, SCHEMA, as_table, batch, by_slot, joined, pack, unpack
-from .bytesops import MASK64, Spans, merged, mix, ranges, sliding_min
-from .common import partitions, table
+from .bytesops import MASK64, Spans, merged, mix, radix_groups, ranges, sliding_min
+from .common import bounded_batches, table
 
 GRAM, BLOCK_BITS = 32, 19
 POSITION = (1 << BLOCK_BITS) - 1
 #: Records that a sender gathers before it packs them; how often it may meet an anchor until it deals it out.
 FLUSH, OFTEN = 200_000, 128
+#: Bytes of text to a receiver, and the least number of receivers.
+VOLUME, SLOTS = 8 << 20, 64
 SPANS, POSTINGS, MARKERS, HOT, REQUESTS, CONTEXTS, WINDOWS = range(7)
 NULL_KEY = -(1 << 63)
 
@@ -227,13 +234,16 @@ def last_digits(threshold: int, slots: int, parts: int):
             size = n + threshold
             off = np.cumsum(size) - size
             rec, at = np.repeat(np.arange(len(k)), n + 1), ranges(off, n + 1)
-            x, y = (mix(Spans(data, s).of(at, at + threshold)) for s in (3, 4))
             k, th, i, hot = k[rec], th[rec], a[rec] + at - off[rec], hot[rec] > 0
-            order, first, later = repeats([x, y], [k, th, i])
-            x, y, k, th, i, hot = (v[order] for v in (x, y, k, th, i, hot))
-            spans_by_part(k[later], th[later], i[later], i[later] + threshold, parts, out)
-            on = first & hot
-            by_slot((x[on] >> np.uint64(33)).astype(np.int64) % slots, WINDOWS, [v[on] for v in (x, y, k, th, i)], out)
+            live, group = radix_groups(data, at, threshold)
+            order = np.lexsort((i[live], th[live], k[live], group))
+            live, group = live[order], group[order]
+            first, begin = groups(group)
+            late = live[(k[live] != k[live][begin]) | (th[live] != th[live][begin]) | (i[live] != i[live][begin])]
+            spans_by_part(k[late], th[late], i[late], i[late] + threshold, parts, out)
+            hot[live[~first]] = False
+            x, y = (mix(Spans(data, s).of(at[hot], at[hot] + threshold)) for s in (3, 4)) if hot.any() else (np.empty(0, np.uint64),) * 2
+            by_slot((x >> np.uint64(33)).astype(np.int64) % slots, WINDOWS, [x, y, k[hot], th[hot], i[hot]], out)
         out = [(s % slots, kind, d) if kind == SPANS else (s, kind, d) for s, kind, d in out]
         out += [(t.column("slot")[0].as_py(), SPANS, d) for d in got.get(SPANS, [])]
         return as_table(out)
@@ -292,11 +302,12 @@ def without_repeats(docs: DataFrame, key: str, text: str, threshold: int = 100,
     """docs with removed_spans (array of start, end in bytes) and kept (the other bytes). characters: cut no character apart."""
     if threshold < GRAM:
         raise ValueError(f"threshold must be at least {GRAM}")
-    p = partitions(docs.sparkSession)
-    slots, parts = p, 2 * p
+    bounded_batches(docs.sparkSession)
+    volume = docs.agg(F.sum(F.octet_length(F.col(text).cast("binary")))).first()[0] or 0
+    slots = parts = max(SLOTS, -(-volume // VOLUME))
     k = F.coalesce(F.col(key).cast("long"), F.lit(NULL_KEY))
     th = F.xxhash64(F.col(key), F.col(text)).bitwiseAND(F.lit(0xFFFFFFFF))
-    carried = [c for c in docs.columns if c != text]
+    carried = [c for c in docs.columns if c not in (text, "removed_spans", "kept")]
     fields = [f"c{i}" for i in range(len(carried))]
     keyed = docs.select(
         (th % parts).cast("int").alias("slot"), k.alias("k"), th.alias("th"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
