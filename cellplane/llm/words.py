@@ -12,15 +12,15 @@ _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
-#: Bytes of texts that are worked on at once.
-BLOCK = 1 << 19
+#: Bytes of texts, and texts, that are worked on at once.
+BLOCK, TEXTS = 1 << 19, 1024
 
 
 def blocks(rows: Iterator[tuple], size: int = BLOCK) -> Iterator[list[tuple]]:
-    """Rows (text first) in lists of about size bytes; a longer text is alone."""
+    """Rows (text first) in lists of about size bytes and TEXTS rows at most; a longer text is alone."""
     held, total = [], 0
     for row in rows:
-        if held and total + len(row[0]) > size:
+        if held and (total + len(row[0]) > size or len(held) == TEXTS):
             yield held
             held, total = [], 0
         held.append(row)
