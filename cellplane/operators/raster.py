@@ -89,6 +89,8 @@ def resampled(plane: DataFrame, source: GridSpec, target: GridSpec, x: Column, y
     cells = spark.range(target.width * target.height).select((F.col("id") / target.width).cast("int").alias("row"), (F.col("id") % target.width).cast("int").alias("col"))
     cells = cells.withColumns({"tx": target.x0 + (F.col("col") + 0.5) * target.cell_m, "ty": target.y_top - (F.col("row") + 0.5) * target.cell_m})
     at = cells.withColumns({"fc": (x - source.x0) / source.cell_m - 0.5, "fr": (source.y_top - y) / source.cell_m - 0.5})
+    if how not in ("nearest", "bilinear"):
+        raise ValueError(f"no way to resample: {how!r}; averages and greatest values come from `reduced`")
     if how == "nearest":
         near = at.select("row", "col", F.round("fr").cast("int").alias("sr"), F.round("fc").cast("int").alias("sc"), F.lit(1.0).alias("w"))
     else:
@@ -97,3 +99,27 @@ def resampled(plane: DataFrame, source: GridSpec, target: GridSpec, x: Column, y
         near = near.withColumn("w", (1 - F.abs(F.col("fr") - F.col("sr"))) * (1 - F.abs(F.col("fc") - F.col("sc")))).filter("w > 0")
     src = plane.select(F.col("row").alias("sr"), F.col("col").alias("sc"), "v")
     return near.join(src, ["sr", "sc"]).groupBy("row", "col").agg((F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("v"))
+
+
+def reduced(plane: DataFrame, k: int) -> DataFrame:
+    """Blocks of k x k cells: (row, col, average, greatest). Missing cells take no part; a block without any is missing."""
+    at = plane.filter("v is not null and not isnan(v)").withColumns({"row": F.expr(f"cast(row div {k} as int)"), "col": F.expr(f"cast(col div {k} as int)")})
+    return at.groupBy("row", "col").agg(F.avg("v").alias("average"), F.max("v").alias("greatest"))
+
+
+def median_filled(df: DataFrame, v: str) -> DataFrame:
+    """df with null and NaN in a column replaced by the median of the others."""
+    known = F.when(~F.isnan(v), F.col(v))
+    middle = df.agg(F.median(known).alias("__m"))  # one row
+    return df.crossJoin(F.broadcast(middle)).withColumn(v, F.coalesce(known, F.col("__m"))).drop("__m")
+
+
+def pasted(tiles: DataFrame, cells: DataFrame, grid: GridSpec) -> DataFrame:
+    """(row, col, code) of tiles (tile, row0, col0) that all carry cells (row, col, code) at their place; 0 paints nothing, of two tiles the greater wins.
+
+    cells may have a column tile: then a tile carries its own ones only.
+    """
+    own = cells.filter("code <> 0").withColumnsRenamed({"row": "r", "col": "c"})
+    both = tiles.join(own, "tile") if "tile" in cells.columns else tiles.join(F.broadcast(own)) if own.count() <= 65_536 else tiles.crossJoin(own)
+    at = both.select("tile", (F.col("row0") + F.col("r")).alias("row"), (F.col("col0") + F.col("c")).alias("col"), "code")
+    return at.filter(grid.inside(F.col("row"), F.col("col"))).groupBy("row", "col").agg(F.max_by("code", "tile").alias("code"))

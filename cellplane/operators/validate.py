@@ -12,6 +12,7 @@ from cellplane.operators import labels, runs
 # The register's columns, and its causes.
 COLUMNS = ("paket", "band_nr", "band_name", "pixel_abs", "anteil_prozent", "groesste_flaeche_ha", "schwerpunkt_bundesland", "ampel", "ursache")
 TODO = "TODO: von Hand eintragen"
+# The register must read like the files that exist, so this message is a fixed value too.
 UNEXPECTED = "FEHLER: in keinem *_wirkungspfad des Manifests - verstoesst gegen PLAN.md Paragraph 13.9, vor Fortsetzung klaeren"
 NO_COUNTERPART = "kein Gegenstueck in run1 (neues Band seit Schema 2.2.0/W7.1)"
 ACCEPTED = "angenommen"
@@ -55,3 +56,38 @@ def upserted(register: DataFrame, package: str, results: DataFrame, allowed: Dat
     new = rows.select(F.lit(package).alias("paket"), F.col("band_nr").cast("string").alias("band_nr"), "band_name", F.col("pixel_abs").cast("string").alias("pixel_abs"), F.format_string("%.4f", "anteil_prozent").alias("anteil_prozent"),
                       F.format_string("%.4f", "groesste_flaeche_ha").alias("groesste_flaeche_ha"), "schwerpunkt_bundesland", F.when(accepted, "akzeptiert").otherwise(F.col("ampel")).alias("ampel"), cause.alias("ursache"))
     return register.filter(F.col("paket") != package).select(*COLUMNS).unionByName(new).orderBy("paket", F.col("band_nr").cast("int"))
+
+
+def aligned(new: DataFrame, reference: DataFrame) -> DataFrame:
+    """(nr, name, ref_nr): the counterpart of every new band (nr, name), null without one.
+
+    By name if all names of both sides are there and the reference's are unique, else by number.
+    """
+    blank = F.count_if(F.coalesce(F.col("name"), F.lit("")) == "").alias("blank")
+    sides = new.agg(blank).select((F.col("blank") == 0).alias("a")).crossJoin(
+        reference.agg(blank, F.count("*").alias("n"), F.countDistinct("name").alias("names")).select(((F.col("blank") == 0) & (F.col("n") == F.col("names"))).alias("b"))
+    )  # one row
+    usable = sides.select((F.col("a") & F.col("b")).alias("by_name"))
+    key = lambda: F.when(F.col("by_name"), F.col("name")).otherwise(F.concat(F.lit("#"), F.col("nr").cast("string")))
+    left = new.crossJoin(F.broadcast(usable)).select("nr", "name", key().alias("key"))
+    right = reference.crossJoin(F.broadcast(usable)).select(F.col("nr").alias("ref_nr"), key().alias("key"))
+    return left.join(right, "key", "left").select("nr", "name", "ref_nr")
+
+
+def same_grid(new: GridSpec, reference: GridSpec) -> None:
+    """Raises where two products do not share a grid."""
+    wrong = [f for f in ("width", "height", "cell_m", "x0", "y_top", "crs") if getattr(new, f) != getattr(reference, f)]
+    if wrong:
+        raise ValueError("grids differ: " + ", ".join(f"{f} {getattr(new, f)} against {getattr(reference, f)}" for f in wrong))
+
+
+def allowed_bands(manifests: DataFrame, doc: str, suffix: str = "_wirkungspfad") -> DataFrame:
+    """(band_name) of all lists under keys of the suffix, whatever their other name. Members that are no lists of texts are passed over."""
+    members = F.from_json(F.col(doc), "map<string,string>")
+    lists = F.map_values(F.map_filter(members, lambda k, _: k.endswith(suffix)))
+    return manifests.select(F.explode(lists).alias("list")).select(F.explode(F.from_json("list", "array<string>")).alias("band_name")).distinct()
+
+
+def outcome(classified_rows: DataFrame, same_hash: bool = False) -> int:
+    """Exit code of a validation: 0 for equal hashes or where nothing unexpected differs, else 1."""
+    return 0 if same_hash or not classified_rows.filter("unerwartet").head(1) else 1

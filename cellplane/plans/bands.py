@@ -113,3 +113,51 @@ def impact(edges: DataFrame, roots: DataFrame, cut) -> DataFrame:
         frontier = cut(step.join(reached, "band", "left_anti"))
         reached = cut(reached.unionByName(frontier))
     return reached
+
+
+# Bands that a caveat names, by whole name or by the start of it.
+CAVEATS = {
+    "noe_dkm": (
+        ("nonresidential_hulls_source", "nonresidential_hulls_buffer", "general_buildings_source", "general_buildings_buffer", "exclusion_human", "all_exclusions", "available_after_all_exclusions_raw", "general_buildings_roh_dkm"),
+        ("exclusion_human_", "all_exclusions_", "available_after_all_exclusions_raw_", "available_cleaned_min_", "available_blur_sigma_"),
+    ),
+    "blur_bleed": ((), ("available_blur_sigma_",)),
+    "tunnelfilter": (("road_motorway_trunk", "road_federal_state", "rail_main", "exclusion_human", "all_exclusions", "available_after_all_exclusions_raw", "available_cleaned_min_10ha"), ()),
+}
+# Bands that are cut to the country, by whole name or by the start of it; the prefix of bands in percent.
+CLIPPED = (
+    ("exclusion_human", "exclusion_nature", "exclusion_geography", "all_exclusions", "available_after_all_exclusions_raw"),
+    ("exclusion_human_", "exclusion_nature_", "exclusion_geography_", "all_exclusions_", "available_after_all_exclusions_raw_", "available_cleaned_min_", "available_blur_sigma_"),
+)
+PERCENT_PREFIX = "available_blur_sigma_"
+
+
+def named(name: Column, names: tuple[str, ...], prefixes: tuple[str, ...]) -> Column:
+    """Whether a band is one of the names or starts with one of the prefixes."""
+    out = name.isin(*names) if names else F.lit(False)
+    for p in prefixes:
+        out = out | name.startswith(p)
+    return out
+
+
+def value_type(name: Column) -> Column:
+    return F.when(name.startswith(PERCENT_PREFIX), "percent_0_100").otherwise("binary")
+
+
+def caveat_bands(spark: SparkSession, names=BANDS) -> DataFrame:
+    """(band, nr, value_type, clipped, caveats): the caveats that touch a band, in order, joined by commas."""
+    rows = catalogue(spark, names)
+    touched = F.array(*[F.when(named(F.col("band"), *of), F.lit(c)) for c, of in CAVEATS.items()])
+    return rows.select("band", "nr", value_type(F.col("band")).alias("value_type"), named(F.col("band"), *CLIPPED).alias("clipped"), F.array_join(F.filter(touched, lambda c: c.isNotNull()), ",").alias("caveats"))
+
+
+def _named_sql(names: tuple[str, ...], prefixes: tuple[str, ...]) -> str:
+    tests = [f"band = '{n}'" for n in names] + [f"starts_with(band, '{p}')" for p in prefixes]
+    return "(" + " OR ".join(tests) + ")"
+
+
+CAVEATS_SQL = (
+    "SELECT band, nr::INTEGER AS nr, CASE WHEN starts_with(band, 'available_blur_sigma_') THEN 'percent_0_100' ELSE 'binary' END AS value_type, "
+    f"{_named_sql(*CLIPPED)} AS clipped, concat_ws(',', {', '.join(f"CASE WHEN {_named_sql(*of)} THEN '{c}' END" for c, of in CAVEATS.items())}) AS caveats "
+    f"FROM (VALUES {', '.join(f"('{b}', {i + 1})" for i, b in enumerate(BANDS))}) t(band, nr)"
+)

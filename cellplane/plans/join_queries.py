@@ -8,39 +8,41 @@ from cellplane.functions import scalars as S
 from cellplane.operators import cluster, labels, runs, spatial
 from cellplane.plans.placed import GRID, disc_sql, components_sql, read, GRID_SQL
 
-#: Points in metres on the 6400 m square of the grid: table, id, x, y, filter, further columns.
+#: Points in metres on the 6400 m square of the grid: table, id, x, y. Each set takes all rows of its table.
 SPOTS = {
-    "candidates": ("customer", "c_custkey", "(c_custkey * 1237 + c_nationkey * 91) % 6400", "(c_custkey * 577 + c_nationkey * 331) % 6400", "c_custkey % 2 = 0"),
-    "addresses": ("customer", "c_custkey", "(c_custkey * 2063 + c_nationkey * 17) % 6400", "(c_custkey * 911 + c_nationkey * 53) % 6400", "c_custkey % 2 = 1"),
-    "gardens": ("part", "p_partkey", "(p_partkey * 1453 + p_size * 7) % 6400", "(p_partkey * 389 + p_size * 29) % 6400", "p_size % 2 = 0"),
-    "register": ("part", "p_partkey", "(p_partkey * 1733 + p_size * 13) % 6400", "(p_partkey * 827 + p_size * 5) % 6400", "p_size % 2 = 1"),
-    "turbines": ("supplier", "s_suppkey", "(s_suppkey * 1871 + s_nationkey * 37) % 6400", "(s_suppkey * 739 + s_nationkey * 71) % 6400", "1 = 1"),
+    "candidates": ("customer", "c_custkey", "(c_custkey * 1237 + c_nationkey * 91) % 6400", "(c_custkey * 577 + c_nationkey * 331) % 6400"),
+    "addresses": ("customer", "c_custkey", "(c_custkey * 2063 + c_nationkey * 17) % 6400", "(c_custkey * 911 + c_nationkey * 53) % 6400"),
+    "gardens": ("part", "p_partkey", "(p_partkey * 1453 + p_size * 7) % 6400", "(p_partkey * 389 + p_size * 29) % 6400"),
+    "register": ("part", "p_partkey", "(p_partkey * 1733 + p_size * 13) % 6400", "(p_partkey * 827 + p_size * 5) % 6400"),
+    "turbines": ("supplier", "s_suppkey", "(s_suppkey * 1871 + s_nationkey * 37) % 6400", "(s_suppkey * 739 + s_nationkey * 71) % 6400"),
 }
 SPOT_CODE = "CASE p_size % 5 WHEN 1 THEN '01' WHEN 3 THEN '08' WHEN 2 THEN '02' ELSE '05' END"
 
 
 def spots(s, d, name, *more):
-    table, key, x, y, keep = SPOTS[name]
-    return read(s, d, table).filter(keep).selectExpr(f"cast({key} as long) as id", f"cast({x} as double) as x", f"cast({y} as double) as y", *more)
+    table, key, x, y = SPOTS[name]
+    return read(s, d, table).selectExpr(f"cast({key} as long) as id", f"cast({x} as double) as x", f"cast({y} as double) as y", *more)
 
 
 def spots_sql(name, *more):
-    table, key, x, y, keep = SPOTS[name]
-    return f"{name} AS (SELECT {', '.join([f'{key}::BIGINT AS id', f'({x})::DOUBLE AS x', f'({y})::DOUBLE AS y', *more])} FROM {table} WHERE {keep})"
+    table, key, x, y = SPOTS[name]
+    return f"{name} AS (SELECT {', '.join([f'{key}::BIGINT AS id', f'({x})::DOUBLE AS x', f'({y})::DOUBLE AS y', *more])} FROM {table})"
 
 
 #: Boxes: a corner and two sides, all below half a metre off whole metres, so that no point lies on an edge.
-BOX = ("p_partkey", "(p_partkey * 97) % 6000 + 0.5", "(p_partkey * 41 + p_size * 11) % 6000 + 0.5", "p_size * 9", "(p_size * 17) % 300 + 20")
+BOX = ("part", "p_partkey", "(p_partkey * 97) % 6000 + 0.5", "(p_partkey * 41 + p_size * 11) % 6000 + 0.5", "p_size * 9", "(p_size * 17) % 300 + 20")
+#: Footprints of works, off the lines of the boxes.
+SITE = ("supplier", "s_suppkey", "(s_suppkey * 613 + s_nationkey * 7) % 6000 + 0.25", "(s_suppkey * 331 + s_nationkey * 19) % 6000 + 0.25", "s_nationkey * 5 + 30", "(s_suppkey % 7) * 20 + 30")
 
 
-def boxes(s, d, keep="p_partkey % 3 = 0"):
-    key, x, y, w, h = BOX
-    return read(s, d, "part").filter(keep).selectExpr(f"cast({key} as long) as poly", f"cast({x} as double) as x", f"cast({y} as double) as y", f"cast({w} as double) as w", f"cast({h} as double) as h").select("poly", spatial.rectangle(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h")).alias("rings"))
+def boxes(s, d, of=BOX):
+    table, key, x, y, w, h = of
+    return read(s, d, table).selectExpr(f"cast({key} as long) as poly", f"cast({x} as double) as x", f"cast({y} as double) as y", f"cast({w} as double) as w", f"cast({h} as double) as h").select("poly", spatial.rectangle(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h")).alias("rings"))
 
 
-def boxes_sql(name, keep="p_partkey % 3 = 0"):
-    key, x, y, w, h = BOX
-    return f"{name} AS (SELECT {key}::BIGINT AS poly, ({x})::DOUBLE AS x, ({y})::DOUBLE AS y, ({w})::DOUBLE AS w, ({h})::DOUBLE AS h FROM part WHERE {keep})"
+def boxes_sql(name, of=BOX):
+    table, key, x, y, w, h = of
+    return f"{name} AS (SELECT {key}::BIGINT AS poly, ({x})::DOUBLE AS x, ({y})::DOUBLE AS y, ({w})::DOUBLE AS w, ({h})::DOUBLE AS h FROM {table})"
 
 
 SIDE = 512.0
@@ -126,8 +128,8 @@ QUERIES = {
     "pairs_within": (lambda s, d: spatial.pairs_within(spots(s, d, "candidates"), 60.0).select("a", "b"), f"WITH {spots_sql('candidates')} SELECT a.id AS a, b.id AS b FROM candidates a JOIN candidates b ON a.id < b.id AND {hypot('a', 'b')} <= 60"),
     "points_in_polygons": (lambda s, d: spatial.covering(spots(s, d, "candidates"), boxes(s, d), SIDE), f"WITH {spots_sql('candidates')}, {boxes_sql('b')} SELECT c.id, b.poly FROM candidates c JOIN b ON c.x > b.x AND c.x < b.x + b.w AND c.y > b.y AND c.y < b.y + b.h"),
     "smallest_cover": (lambda s, d: spatial.smallest_cover(spots(s, d, "candidates"), boxes(s, d), SIDE), f"WITH {spots_sql('candidates')}, {boxes_sql('b')} SELECT id, poly, area FROM (SELECT c.id, b.poly, b.w * b.h AS area, row_number() OVER (PARTITION BY c.id ORDER BY b.w * b.h, b.poly) AS r FROM candidates c JOIN b ON c.x > b.x AND c.x < b.x + b.w AND c.y > b.y AND c.y < b.y + b.h) WHERE r = 1"),
-    "anti_join_overlap": (lambda s, d: boxes(s, d).join(spatial.overlapping(boxes(s, d), boxes(s, d, "p_partkey % 3 = 1"), SIDE).select("poly").distinct(), "poly", "left_anti").select("poly"),
-        f"WITH {boxes_sql('a')}, {boxes_sql('b', 'p_partkey % 3 = 1')} SELECT poly FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE a.x <= b.x + b.w AND b.x <= a.x + a.w AND a.y <= b.y + b.h AND b.y <= a.y + a.h)"),
+    "anti_join_overlap": (lambda s, d: boxes(s, d).join(spatial.overlapping(boxes(s, d), boxes(s, d, SITE), SIDE).select("poly").distinct(), "poly", "left_anti").select("poly"),
+        f"WITH {boxes_sql('a')}, {boxes_sql('b', SITE)} SELECT poly FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE a.x <= b.x + b.w AND b.x <= a.x + a.w AND a.y <= b.y + b.h AND b.y <= a.y + a.h)"),
     "oversized_rule": (oversized, f"WITH {boxes_sql('b')}, {spots_sql('addresses')} SELECT poly, w * h AS area, CASE WHEN w * h > 10000 THEN 'disc' ELSE 'as it is' END AS how FROM b WHERE w * h <= 10000 OR EXISTS (SELECT 1 FROM addresses c WHERE c.x > b.x AND c.x < b.x + b.w AND c.y > b.y AND c.y < b.y + b.h)"),
     "hull_signals": (signals, f"WITH RECURSIVE {_SIGNALS} SELECT * FROM signals"),
     "hull_classes": (classes, f"WITH RECURSIVE {_CLASSES} SELECT * FROM classes"),

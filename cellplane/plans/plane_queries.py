@@ -52,8 +52,8 @@ _BLUR = (
 )
 
 
-def shapes(s, d, keep="p_partkey % 3 = 0"):
-    return boxes(s, d, keep).select(F.col("poly").alias("id"), F.lit("polygon").alias("kind"), "rings")
+def shapes(s, d):
+    return boxes(s, d).select(F.col("poly").alias("id"), F.lit("polygon").alias("kind"), "rings")
 
 
 _TOUCH = "floor((6400 - (y + h)) / 25) AS r0, floor((6400 - y) / 25) AS r1, floor(x / 25) AS c0, floor((x + w) / 25) AS c1"
@@ -140,7 +140,8 @@ def edge_merge(s, d):
 
 
 def old_mask(s, d):
-    return runs.from_cells(read(s, d, "supplier").filter("s_suppkey % 3 = 0 and s_suppkey % 5 <> 0 or s_suppkey % 7 = 0").selectExpr("cast((s_suppkey * 97 + s_nationkey * 5) % 256 as int) as row", "cast((s_suppkey * 31 + s_nationkey * 11) % 256 as int) as col").distinct())
+    """The settlement mask of an earlier state: one supplier in five stood a column to the right."""
+    return runs.from_cells(read(s, d, "supplier").selectExpr("cast((s_suppkey * 97 + s_nationkey * 5) % 256 as int) as row", "cast((s_suppkey * 31 + s_nationkey * 11 + case when s_suppkey % 5 = 0 then 1 else 0 end) % 256 as int) as col").distinct())
 
 
 def diff_metrics(s, d):
@@ -151,8 +152,7 @@ RESULT = "s_suppkey AS band_nr, 'band' || s_suppkey AS band_name, CASE s_suppkey
 
 
 def results(s, d):
-    read(s, d, "supplier").createOrReplaceTempView("cellplane_supplier")
-    rows = s.sql(f"SELECT {RESULT} FROM cellplane_supplier")
+    rows = s.sql(f"SELECT {RESULT} FROM {{supplier}}", supplier=read(s, d, "supplier"))
     return rows.withColumns({c: F.col(c).cast("double") for c in ("anteil_prozent", "groesste_flaeche_ha", "flaeche_km2")})
 
 
@@ -165,7 +165,7 @@ def traffic(s, d):
 
 
 def register(s, d):
-    rows = read(s, d, "supplier").filter("s_suppkey % 2 = 0").selectExpr("CASE WHEN s_suppkey % 3 = 0 THEN 'W1' ELSE 'W2' END AS paket", "cast(s_suppkey as string) AS band_nr", "concat('band', s_suppkey) AS band_name", "'5' AS pixel_abs", "'0.0100' AS anteil_prozent", "'1.0000' AS groesste_flaeche_ha", "'Tirol' AS schwerpunkt_bundesland", "'rot' AS ampel",
+    rows = read(s, d, "supplier").selectExpr("CASE WHEN s_suppkey % 3 = 0 THEN 'W1' ELSE 'W2' END AS paket", "cast(s_suppkey as string) AS band_nr", "concat('band', s_suppkey) AS band_name", "'5' AS pixel_abs", "'0.0100' AS anteil_prozent", "'1.0000' AS groesste_flaeche_ha", "'Tirol' AS schwerpunkt_bundesland", "'rot' AS ampel",
         f"CASE s_suppkey % 4 WHEN 0 THEN 'Angenommen (Punkt 33)' ELSE '{validate.TODO}' END AS ursache")
     return validate.upserted(rows, "W2", results(s, d), allowed(s, d))
 
@@ -174,13 +174,13 @@ _CLASSIFIED = f"""r AS (SELECT {RESULT} FROM supplier), c AS (SELECT *, pixel_ab
  l AS (SELECT *, CASE WHEN ohne_gegenstueck THEN 'ohne_gegenstueck' WHEN pixel_abs = 0 THEN 'bitgleich' WHEN unerwartet OR role = 'referenz' THEN 'rot'
   WHEN role = 'bedingung' THEN CASE WHEN anteil_prozent <= 0.01 AND groesste_flaeche_ha <= 1 THEN 'gruen' WHEN anteil_prozent <= 0.1 AND groesste_flaeche_ha <= 25 THEN 'gelb' ELSE 'rot' END
   WHEN flaeche_km2 <= 1 THEN 'gruen' WHEN flaeche_km2 <= 10 THEN 'gelb' ELSE 'rot' END AS ampel FROM c)"""
-_REGISTER = f"""WITH {_CLASSIFIED}, old AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'W1' ELSE 'W2' END AS paket, s_suppkey AS nr, CASE s_suppkey % 4 WHEN 0 THEN 'Angenommen (Punkt 33)' ELSE '{validate.TODO}' END AS ursache FROM supplier WHERE s_suppkey % 2 = 0)
+_REGISTER = f"""WITH {_CLASSIFIED}, old AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'W1' ELSE 'W2' END AS paket, s_suppkey AS nr, CASE s_suppkey % 4 WHEN 0 THEN 'Angenommen (Punkt 33)' ELSE '{validate.TODO}' END AS ursache FROM supplier)
  SELECT paket, nr::VARCHAR AS band_nr, 'band' || nr AS band_name, '5' AS pixel_abs, '0.0100' AS anteil_prozent, '1.0000' AS groesste_flaeche_ha, 'Tirol' AS schwerpunkt_bundesland, 'rot' AS ampel, ursache FROM old WHERE paket <> 'W2'
  UNION ALL SELECT 'W2', band_nr::VARCHAR, band_name, pixel_abs::VARCHAR, printf('%.4f', anteil_prozent::DOUBLE), printf('%.4f', groesste_flaeche_ha::DOUBLE), schwerpunkt_bundesland,
   CASE WHEN o.ursache LIKE 'Angenommen%' AND NOT unerwartet AND ampel = 'rot' THEN 'akzeptiert' ELSE ampel END,
   CASE WHEN unerwartet THEN '{validate.UNEXPECTED}' WHEN o.ursache IS NOT NULL AND o.ursache <> '{validate.TODO}' THEN o.ursache WHEN ohne_gegenstueck THEN '{validate.NO_COUNTERPART}' ELSE '{validate.TODO}' END
  FROM l LEFT JOIN (SELECT * FROM old WHERE paket = 'W2') o ON o.nr = l.band_nr WHERE pixel_abs > 0 OR ohne_gegenstueck"""
-_DIFF = f"""WITH RECURSIVE a AS ({points_sql('settlement')}), b AS (SELECT DISTINCT ((s_suppkey * 97 + s_nationkey * 5) % 256)::INTEGER AS row, ((s_suppkey * 31 + s_nationkey * 11) % 256)::INTEGER AS col FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 5 <> 0 OR s_suppkey % 7 = 0),
+_DIFF = f"""WITH RECURSIVE a AS ({points_sql('settlement')}), b AS (SELECT DISTINCT ((s_suppkey * 97 + s_nationkey * 5) % 256)::INTEGER AS row, ((s_suppkey * 31 + s_nationkey * 11 + CASE WHEN s_suppkey % 5 = 0 THEN 1 ELSE 0 END) % 256)::INTEGER AS col FROM supplier),
  diff AS ((SELECT * FROM a EXCEPT SELECT * FROM b) UNION (SELECT * FROM b EXCEPT SELECT * FROM a)), {components_sql('diff', 'lab', 4)}, {ZONES_SQL}, where_ AS (SELECT z.zone, count(*) AS n FROM diff d JOIN zones z ON d.col BETWEEN z.c0 AND z.c1 GROUP BY z.zone),
  t AS (SELECT (SELECT count(*) FROM diff) AS p, (SELECT count(*) FROM b) AS r, (SELECT coalesce(max(n), 0) FROM (SELECT count(*) AS n FROM lab GROUP BY label)) AS big)
  SELECT p AS pixel_abs, r AS reference_cells, CASE WHEN p = 0 THEN 0.0::DOUBLE WHEN r = 0 THEN 'inf'::DOUBLE ELSE 100.0::DOUBLE * p / r END AS share_percent, 100.0::DOUBLE * p / 65536 AS grid_percent, big * 0.0625::DOUBLE AS largest_ha, p * 0.0625::DOUBLE / 100 AS km2, (SELECT zone FROM where_ ORDER BY n DESC, zone LIMIT 1) AS zone FROM t"""

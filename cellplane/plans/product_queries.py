@@ -28,7 +28,7 @@ TILE, HALO = 1024, 512
 def polygonize(s, d):
     """Faces of the outlines of all boxes, cut at tiles of 1024 m: each tile sees the boxes that meet it or its halo."""
     ring = F.get("rings", 0)
-    closed = boxes(s, d, "1 = 1").select(F.array(F.concat(ring, F.slice(ring, 1, 1))).alias("rings"))
+    closed = boxes(s, d).select(F.array(F.concat(ring, F.slice(ring, 1, 1))).alias("rings"))
     tiles = outlines.tiled(closed, TILE, HALO, lambda x, y: F.when(x.between(0, 9) & y.between(0, 9), x * 10 + y))
     inside = lambda tile, side=TILE: (tile // 10 * side, tile % 10 * side, (tile // 10 + 1) * side, (tile % 10 + 1) * side)
     return outlines.polygonised(tiles, inside).select("tile", "face", F.size(F.get("rings", 0)).alias("corners"))
