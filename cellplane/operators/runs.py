@@ -36,6 +36,20 @@ def sweep(masks: dict[str, DataFrame], condition: Callable[[dict[str, Column]],
     return events.withColumn("c1", (F.lead("at").over(along) - 1).cast("int")).filter("on").select("row", F.col("at").cast("int").alias("c0"), "c1")
 
 
+def coincident(masks: dict[str, DataFrame]) -> DataFrame:
+    """(row, width, a boolean for each mask): stretches along which the same masks are set, where any is."""
+    names = list(masks)
+    events = None
+    for name in names:
+        one = _events(masks[name], name, names)
+        events = one if events is None else events.unionByName(one)
+    events = events.repartition("row").groupBy("row", "at").agg(*[F.sum(n).alias(n) for n in names])
+    along = Window.partitionBy("row").orderBy("at")
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    out = events.select("row", (F.lead("at").over(along) - F.col("at")).alias("width"), *[(F.sum(n).over(upto) > 0).alias(n) for n in names])
+    return out.filter(_fold([F.col(n) for n in names], lambda a, b: a | b))
+
+
 def from_cells(cells: DataFrame) -> DataFrame:
     """(row, col), repeats allowed, to runs."""
     return sweep({"m": cells.select("row", F.col("col").alias("c0"), F.col("col").alias("c1"))}, lambda on: on["m"])

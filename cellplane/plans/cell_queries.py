@@ -40,16 +40,21 @@ def available_cleaned(spark, sf):
     return labels.min_area(available_raw(spark, sf), 10, GRID)
 
 
+def _stacked(sums: DataFrame, by: str, names: dict[str, str]) -> DataFrame:
+    """One row of sums as rows (by, cells); names: column to the text of its key."""
+    rows = sums.selectExpr(f"stack({len(names)}, {', '.join(f'{key}, {c}' for c, key in names.items())}) AS ({by}, cells)")
+    return rows.select(by, F.coalesce("cells", F.lit(0)).cast("long").alias("cells"))
+
+
 def category_totals(spark, sf):
-    """Cells and square kilometres of each aggregate, inside the valid area."""
-    inside = valid(spark)
-    h, n = human(spark, sf), nature(spark, sf)
-    parts = {"exclusion_human": runs.and_(h, inside), "exclusion_nature": runs.and_(n, inside), "all_exclusions": runs.sweep({"h": h, "n": n, "v": inside}, lambda on: (on["h"] | on["n"]) & on["v"]), "available_raw": available_raw(spark, sf)}
-    out = None
-    for name, m in parts.items():
-        one = m.agg(F.coalesce(runs.n_cells(m), F.lit(0).cast("long")).alias("cells")).select(F.lit(name).alias("band"), "cells", (F.col("cells") * 625 / 1e6).alias("km2"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Cells and square kilometres of each aggregate, inside the valid area: every mask is made once, and one sweep counts all aggregates."""
+    wide = runs.clip(runs.widened(mask("single")(spark, sf), GRID.radius(100)), GRID)
+    on = runs.coincident({"zoned": settlement_buffer(spark, sf), "single": wide, "special": mask("special")(spark, sf), "nature": nature(spark, sf), "valid": valid(spark)}).filter("valid")
+    h, n = F.col("zoned") | F.col("single") | F.col("special"), F.col("nature")
+    count = lambda c, name: F.sum(F.when(c, F.col("width"))).alias(name)
+    sums = on.agg(count(h, "exclusion_human"), count(n, "exclusion_nature"), count(h | n, "all_exclusions"), count(~(h | n), "available_raw"))
+    rows = _stacked(sums, "band", {c: f"'{c}'" for c in sums.columns})
+    return rows.withColumn("km2", F.col("cells") * 625 / 1e6)
 
 
 def closing_hulls(spark, sf):
@@ -86,15 +91,14 @@ def seeded(spark, sf):
 
 
 def variant_sweep(spark, sf):
-    """Available cells for each settlement distance; the rest of the exclusions is computed once."""
-    rest = runs.or_(runs.clip(runs.widened(mask("single")(spark, sf), GRID.radius(100)), GRID), nature(spark, sf))
-    out = None
-    for d in (100, 200, 250, 300, 375):
-        own = runs.clip(runs.widened(mask("settlement")(spark, sf), GRID.radius(d)), GRID)
-        free = runs.sweep({"v": valid(spark), "r": rest, "o": own}, lambda on: on["v"] & ~(on["r"] | on["o"]))
-        one = free.agg(F.coalesce(runs.n_cells(free), F.lit(0).cast("long")).alias("cells")).select(F.lit(d).alias("distance_m"), "cells")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Available cells for each settlement distance: all distances and the rest of the exclusions in one sweep."""
+    distances = (100, 200, 250, 300, 375)
+    settlement = mask("settlement")(spark, sf)
+    masks = {f"d{m}": runs.clip(runs.widened(settlement, GRID.radius(m)), GRID) for m in distances}
+    masks |= {"single": runs.clip(runs.widened(mask("single")(spark, sf), GRID.radius(100)), GRID), "nature": nature(spark, sf), "valid": valid(spark)}
+    free = runs.coincident(masks).filter("valid and not single and not nature")
+    sums = free.agg(*[F.sum(F.when(~F.col(f"d{m}"), F.col("width"))).alias(f"d{m}") for m in distances])
+    return _stacked(sums, "distance_m", {f"d{m}": str(m) for m in distances})
 
 
 def overview_pyramid(spark, sf):

@@ -34,15 +34,19 @@ def _empty(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
+def features_of(lines: DataFrame) -> DataFrame:
+    """(attrs, shape) of lines (value) of GeoJSON features. Record separators and lines too short for a feature are skipped."""
+    kept = lines.select(F.regexp_replace("value", "^\x1e", "").alias("f")).filter(F.length(F.trim("f")) >= 10)
+    return kept.select(F.from_json(F.get_json_object("f", "$.properties"), "map<string,string>").alias("attrs"), geojson_shape(F.get_json_object("f", "$.geometry")).alias("shape"))
+
+
 def read_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
     """(attrs, shape) of a file or folder of GeoJSON features, one a line. Record separators and blank lines are skipped; a missing path is empty."""
     try:
         lines = spark.read.text(path)
     except AnalysisException:
         return _empty(spark, FEATURES)
-    feature = F.regexp_replace("value", "^\x1e", "")
-    kept = lines.select(feature.alias("f")).filter(F.length(F.trim("f")) >= 10)
-    return kept.select(F.from_json(F.get_json_object("f", "$.properties"), "map<string,string>").alias("attrs"), geojson_shape(F.get_json_object("f", "$.geometry")).alias("shape"))
+    return features_of(lines)
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
