@@ -11,7 +11,8 @@ Counts of suffixes, hosts and declarations go by the language that the text alon
 A document is rejected if its text has no letters to judge by, or if no language reaches `sure`.
 
 Defined results: null texts are empty; missing evidence is evidence of its own ("none"), null hosts share one prior. Without any
-declared language nothing can be learned, and all are rejected. Repeated rows are judged alike. An empty table gives an empty result.
+declared language nothing can be learned, and all are rejected. Of languages with equal posteriors the first by name is taken. Repeated rows
+are judged alike; texts of any length are taken whole. Other columns are ignored, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ a target, at most about one document's size, is made up by at most `FLIPS` docum
 few documents is met as near as that allows.
 
 Defined results: null texts have size 0 and are taken 0 times; null is a source of its own, last in order. Repeated rows may differ in
-copies. Texts of any length count whole. Of other columns, whatever their names, nothing is read. An empty table gives an empty
+copies. Texts of any length count whole. Of other columns, whatever their names, nothing is read; a key
+column named like a result column comes back as key_<name>. An empty table gives an empty
 result. The outcome depends on the rows alone, not on their partitions, so reruns agree.
 
 Work is split by rows, never by source: documents are numbered in ranges of (source, size, key), so neither a hot source nor a hot size meets
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop, materialise, n_words, numbered, table
+from .common import drop, materialise, n_words, numbered, own_name, table
 
 #: Weights of the sources in order, repeating; the share of all sizes that the mix has; the most copies of a document.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
@@ -139,7 +140,7 @@ def balance(docs: DataFrame, key: str, size: Column, source: str, weights=WEIGHT
     # extra of n documents, evenly.
     upto = lambda i: F.expr(f"cast(nth - first + {i} as decimal(19,0)) * cast(extra as decimal(18,0)) div n")
     copies = F.coalesce(F.col("whole") + upto(1) - upto(0), F.lit(0)).cast("long")
-    return full.select(F.col("k").alias(key), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return full.select(F.col("k").alias(own_name(key, ["size", "source_size", "target", "copies", "taken"])), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def op9_mixing(spark, sf_dir):

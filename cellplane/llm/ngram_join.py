@@ -18,7 +18,8 @@ hash. Texts of one set are one node from the start.
 
 Defined results: null and wordless texts have empty sets and link with nothing. Repeated rows are returned as often as they occur;
 rows of equal sets are linked. Rows of one key and different texts are nodes of their own. A row with a null key takes part in no link and
-has a null component. Keys must be whole numbers or castable to such. Texts of any length are taken whole, in pieces. Other columns of the input,
+has a null component. Keys must be whole numbers or castable to such; a key column named like a result column comes back as
+key_<name>. Texts of any length are taken whole, in pieces. Other columns of the input,
 whatever their names, are ignored. An empty table gives an empty result.
 """
 
@@ -33,7 +34,7 @@ from cellplane.operators.components import least_labels
 
 from .blobs import DDL, batch, by_slot, joined, unpack
 from .bytesops import mix
-from .common import bounded_batches, drop, materialise, table
+from .common import bounded_batches, drop, materialise, own_name, table
 from .words import blocks, distinct, shingles, word_hashes
 
 WORDS, PERCENT = 5, 80
@@ -116,7 +117,8 @@ def prefixes(seed: int, last: np.ndarray, slots: int):
                 s, n, t = (np.concatenate(x) for x in zip(*held, strict=True))
                 order = np.lexsort((s, t))
                 s, n, t = s[order], n[order], t[order]
-                keep = np.concatenate([[True], (t[1:] != t[:-1]) | (s[1:] != s[:-1])])
+                keep = np.ones(len(t), dtype=bool)
+                keep[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])
                 spread = mix(t[keep])
                 by_slot((spread >> np.uint64(32)).astype(np.int64) % slots, 0, [spread, s[keep], n[keep]], out)
             return batch(out)
@@ -388,7 +390,7 @@ def linked(members: DataFrame, docs: DataFrame, nodes: DataFrame, seed: int, las
     one = nodes.filter("k is not null").groupBy("s").agg(F.min("k").alias("k"))
     asked = materialise(of.join(one, "s").select("k", F.struct("s", "units").alias("to")), "join-asked")
     few = asked.agg(F.sum(F.size("to.units") + 2)).first()[0] or 0
-    few = F.broadcast(asked) if few <= 1_000_000 else asked
+    few = F.broadcast(asked) if few <= 500_000 else asked
     shipped = docs.join(few, "k").select(F.col("to").alias("k"), "text").mapInArrow(ship(seed, last), SHIPPED)
     rows = shipped.select("s", "places", "units", F.explode("units").alias("u")).select("s", "places", "u.*", F.transform(F.filter("units", lambda v: v["c"] < F.col("u.c")), lambda v: v["c"]).alias("earlier"))
     out = materialise(dealt(rows, ["earlier", "places"]).groupBy("u", "b1", "b2").applyInArrow(unit_links, "s long, root long, links long"), "join-linked")
@@ -428,7 +430,7 @@ def jaccard_components(docs: DataFrame, key: str, text: str) -> DataFrame:
     full = rows.filter("j is not null").join(known, "s").select("k", "n", "component", "n_links")
     rest = rows.filter("j is null").select("k", "n", F.col("k").alias("component"), F.lit(None).cast("long").alias("n_links"))
     full = full.unionByName(rest)
-    return full.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return full.select(F.col("k").alias(own_name(key, ["n_shingles", "component_id", "n_links"])), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def op3_ngram_join(spark, sf_dir):

@@ -6,10 +6,14 @@ A truncated singular value decomposition of labelled documents gives a space of
 document is held against all of them in blocks of exact cosine products, and its nearest `near` vote with weights that rise
 steeply with similarity. The weights of the two labels are balanced against their shares among the labelled.
 
+Similarities count to six digits; of neighbours that are equally near, those of the least keys vote.
+
 Rows whose crc32 of the key as text is divisible by `folds` are held out: their labels are never read. Labels, language, source and key are no inputs.
 
 Defined results: null texts count as empty; a text without trigrams gets the labelled rows' share of label 1. A key labelled twice counts
-by its greatest label; null labels are left out. With no labels all scores are 0.5. An empty table gives an empty result.
+by its greatest label; null labels are left out. With no labels all scores are 0.5. Rows repeat as they do in the input and are scored
+alike; texts of any length are taken whole. Keys must be whole numbers or castable to such; a key column named like a result column comes
+back as key_<name>, other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, table
+from .common import bounded_batches, own_name, table
 from .features import STEPS, STYLES, styles, trigrams
 from .words import blocks
 
@@ -60,6 +64,15 @@ def vectors(batches):
         yield pa.RecordBatch.from_arrays([pa.array([k for _, k in block], pa.int64()), pa.array([row.tobytes() for row in x], pa.binary())], names=["k", "x"])
 
 
+def nearest(sims: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k greatest values of each row; of equal values the first places."""
+    top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(sims, top, axis=1).min(axis=1, keepdims=True)
+    for i in np.flatnonzero((sims >= least).sum(axis=1) > k):
+        top[i] = np.argsort(-sims[i], kind="stable")[:k]
+    return top
+
+
 def vote(idf: np.ndarray, axes: np.ndarray, known: np.ndarray, labels: np.ndarray, near: int):
     share = float(labels.mean()) if len(labels) else 0.5
     per = np.where(labels == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6)).astype(np.float32)
@@ -72,11 +85,10 @@ def vote(idf: np.ndarray, axes: np.ndarray, known: np.ndarray, labels: np.ndarra
                 z = x @ axes
                 size = np.linalg.norm(z, axis=1)
                 sims = (z / np.maximum(size, 1e-9)[:, None]) @ known.T
-                k = min(near, len(known))
-                top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+                top = nearest(np.round(sims, 6), min(near, len(known)))
                 sim = np.take_along_axis(sims, top, axis=1)
-                weight = np.exp(12.0 * (sim - sim.max(axis=1, keepdims=True))) * per[top]
-                score = (weight * labels[top]).sum(axis=1) / weight.sum(axis=1)
+                weight = np.exp(12.0 * (sim - sim.max(axis=1, keepdims=True)).astype(np.float64)) * per[top]
+                score = np.clip((weight * labels[top]).sum(axis=1) / weight.sum(axis=1), 0.0, 1.0)
                 out = np.where(size > 1e-6, score, share)
             yield pa.RecordBatch.from_arrays([pa.array([k for _, k in block], pa.int64()), pa.array(out.astype(np.float64))], names=["k", "score"])
 
@@ -114,7 +126,7 @@ def nearest_votes(docs: DataFrame, key: str, text: str, labels: DataFrame, label
     else:
         axes, known = np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32)
     scored = rows.mapInArrow(vote(idf, axes, known, y, near), "k long, score double")
-    return scored.select(F.col("k").alias(key), held_out(F.col("k")).alias("held_out"), "score")
+    return scored.select(F.col("k").alias(own_name(key, ["held_out", "score"])), held_out(F.col("k")).alias("held_out"), "score")
 
 
 def op10_quality_knn(spark, sf_dir):

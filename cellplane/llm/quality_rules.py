@@ -8,7 +8,8 @@ the greater of a suffix's two is its longest repeat: the intervals of equal pref
 Beside them stand base counts: words, code points in words, symbols, repeated lines, words in repeated three-word windows.
 
 Defined results: null texts have no words; a document of fewer than 50 words fails. Rows repeat as they do in the input. Documents
-are judged one by one, so copies have equal results. An empty table gives an empty result.
+are judged one by one, so copies have equal results. Texts of any length are taken whole. Keys must be whole numbers or castable to
+such; a key column named like a result column comes back as key_<name>, other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytesops import Spans, mix
-from .common import bounded_batches, table
+from .common import bounded_batches, own_name, table
 from .words import _GAP, BLOCK, blocks
 
 SHORTEST, COVERED, LONGEST = 5, 0.3, 60
@@ -153,7 +154,7 @@ def repetition_rules(docs: DataFrame, key: str, text: str, shortest: int = SHORT
     out = rows.mapInArrow(measure(shortest), "k long, " + ", ".join(f"{f} long" for f in FIELDS))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     fine = (F.col("covered_words") <= covered * F.col("n_words")) & (F.col("longest_repeat") <= longest)
-    return out.select(F.col("k").alias(key), *FIELDS, failed.alias("base_failed"), (~failed & fine).alias("kept"))
+    return out.select(F.col("k").alias(own_name(key, [*FIELDS, "base_failed", "kept"])), *FIELDS, failed.alias("base_failed"), (~failed & fine).alias("kept"))
 
 
 def op6_quality_rules(spark, sf_dir):

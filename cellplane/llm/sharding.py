@@ -6,17 +6,18 @@ and the whole directory follows from byte sums by prefix: no bucket is ever gath
 
 Defined results: null sizes count as 0 bytes; null keys hash as the empty string. A bucket of one row never splits, so a row
 above the limit is a shard of its own. Rows whose keys agree in all hash bits cannot be told apart by bits: such a bucket has
-overflow pages, numbered from 1 (0 elsewhere), each within the limit or of one row. An empty table gives an empty result.
+overflow pages, numbered from 1 (0 elsewhere), each within the limit or of one row. Repeated rows are rows of their own. A key
+column named like a result column comes back as key_<name>; other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, numbered, own_name
 
 BITS = 60
 
@@ -52,11 +53,11 @@ def extendible_shards(df: DataFrame, key: str, size: Column, limit_bytes: int) -
         rows = materialise(leaf.join(full.select("leaf"), "leaf", "left_semi").select("k", "b", "h"), "shard-open")
         if top == BITS:
             most = rows.groupBy("h").agg(F.greatest(F.lit(1), F.floor(limit_bytes / F.greatest(F.max("b"), F.lit(1)))).alias("fit"))
-            nth = F.row_number().over(Window.partitionBy("h").orderBy("b", "k"))
-            placed.append(
-                rows.withColumn("nth", nth).join(most, "h")
-                .select("k", "b", "h", F.lit(BITS).alias("depth"), (F.floor((F.col("nth") - 1) / F.col("fit")) + 1).alias("page"))
-            )
+            # One key may have most rows: they are numbered in ranges of the order, which a random number ends.
+            placed_ = numbered(rows.withColumn("any", F.rand(1)), [F.col(c) for c in ("h", "b", "k", "any")], "nth")
+            first = placed_.groupBy("h").agg(F.min("nth").alias("first"))
+            nth = F.col("nth") - F.col("first")
+            placed.append(placed_.join(first.join(most, "h"), "h").select("k", "b", "h", F.lit(BITS).alias("depth"), (F.floor(nth / F.col("fit")) + 1).alias("page")))
             break
         base, step = top, 8
     out = placed[0]
@@ -64,7 +65,7 @@ def extendible_shards(df: DataFrame, key: str, size: Column, limit_bytes: int) -
         out = out.unionByName(more)
     out = out.withColumn("shard", F.expr(f"substring(lpad(bin(h), {BITS}, '0'), 1, depth)"))
     sums = out.groupBy("shard", "page").agg(F.sum("b").alias("shard_bytes"), F.count("*").alias("shard_rows"))
-    return out.join(sums, ["shard", "page"]).select(F.col("k").alias(key), F.col("b").alias("n_bytes"), "shard", "depth", "page", "shard_bytes", "shard_rows")
+    return out.join(sums, ["shard", "page"]).select(F.col("k").alias(own_name(key, ["n_bytes", "shard", "depth", "page", "shard_bytes", "shard_rows"])), F.col("b").alias("n_bytes"), "shard", "depth", "page", "shard_bytes", "shard_rows")
 
 
 def op1_sharding(spark, sf_dir):
