@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellplane.plans import manifest_values as V
+
 # Band names in file order.
 BANDS = (
     "official_settlement_source", "settlement_buffer", "haeuser_im_gruenen_ferienhaus", "haeuser_im_gruenen_widmung", "haeuser_im_gruenen_streusiedlung", "haeuser_im_gruenen_noe_pdf", "haeuser_im_gruenen",
@@ -151,6 +153,28 @@ def caveat_bands(spark: SparkSession, names=BANDS) -> DataFrame:
     return rows.select("band", "nr", value_type(F.col("band")).alias("value_type"), named(F.col("band"), *CLIPPED).alias("clipped"), F.array_join(F.filter(touched, lambda c: c.isNotNull()), ",").alias("caveats"))
 
 
+def entries(spark: SparkSession, names=BANDS) -> DataFrame:
+    """(nr, band, label, familie, stufe, dashboard_layer, default_visible): what the manifest states of each band. Unknown names label themselves."""
+    known = spark.createDataFrame(list(V.BANDS), "band string, l string, f string, s string")
+    name = F.col("band")
+    tail = F.element_at(F.split(name, "_"), -1)
+    strength = F.concat(F.lit(f"{V.BLUR_LABEL} "), F.element_at(F.create_map(*[F.lit(x) for pair in V.STRENGTH.items() for x in pair]), tail))
+    result = name.startswith(V.CLEANED) | name.startswith(V.BLUR)
+    label = F.coalesce("l", F.when(name.startswith(V.CLEANED), V.CLEANED_LABEL).when(name.startswith(V.BLUR), strength), name)
+    ends = lambda c: F.coalesce(F.col(c), F.when(result, "ergebnis"))
+    rows = catalogue(spark, names).join(known, "band", "left")
+    return rows.select("nr", "band", label.alias("label"), ends("f").alias("familie"), ends("s").alias("stufe"), name.isin(*V.PANEL).alias("dashboard_layer"), name.isin(*V.VISIBLE).alias("default_visible"))
+
+
+ENTRIES_SQL = (
+    f"WITH b AS (SELECT * FROM (VALUES {', '.join(f"('{b}', {i + 1})" for i, b in enumerate(BANDS))}) t(band, nr)), k AS (SELECT * FROM (VALUES {', '.join(str(e) for e in V.BANDS)}) t(band, l, f, s)), "
+    f"w AS (SELECT * FROM (VALUES {', '.join(str(e) for e in V.STRENGTH.items())}) t(tail, word)) "
+    f"SELECT b.nr::INTEGER AS nr, b.band, coalesce(k.l, CASE WHEN starts_with(b.band, '{V.CLEANED}') THEN '{V.CLEANED_LABEL}' WHEN starts_with(b.band, '{V.BLUR}') THEN '{V.BLUR_LABEL} ' || w.word END, b.band) AS label, "
+    f"coalesce(k.f, 'ergebnis') AS familie, coalesce(k.s, 'ergebnis') AS stufe, b.band IN {V.PANEL} AS dashboard_layer, b.band IN {V.VISIBLE} AS default_visible "
+    "FROM b LEFT JOIN k ON k.band = b.band LEFT JOIN w ON ends_with(b.band, '_' || w.tail) AND starts_with(b.band, 'available_blur')"
+)
+
+
 def _named_sql(names: tuple[str, ...], prefixes: tuple[str, ...]) -> str:
     tests = [f"band = '{n}'" for n in names] + [f"starts_with(band, '{p}')" for p in prefixes]
     return "(" + " OR ".join(tests) + ")"

@@ -120,6 +120,7 @@ _CADASTRE = """WITH r AS (SELECT 'Tirol:NFL_V2:' || l_suppkey || ':' || l_orderk
 
 QUERIES = {
     "bands_by_role": (bands_by_role, _ROLES),
+    "manifest_bands": (lambda s, d: bands.entries(s), bands.ENTRIES_SQL),
     "footprint_diameter": (footprints, f"WITH {boxes_sql('b')} SELECT p.p_brand AS brand, round(2 * sqrt(median(b.w * b.h) / pi()), 6) AS diameter FROM b JOIN part p ON p.p_partkey = b.poly GROUP BY p.p_brand"),
     "reference_overlap": (reference_overlap, _OVERLAP),
     "linkage_comparison": (linkage, _LINKAGE),

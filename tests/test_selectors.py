@@ -119,3 +119,21 @@ def test_resampling_kinds(spark):
     with pytest.raises(ValueError):
         raster.resampled(plane, GRID, GRID, F.col("tx"), F.col("ty"), "cubic")
     assert [r.v for r in raster.median_filled(plane, "v").orderBy("row", "col").collect()] == [1.0, 3.0, 2.0, 2.0]
+
+
+def test_manifest(spark):
+    import json
+
+    from cellplane.plans import bands, compose
+
+    doc = json.loads(compose.manifest(spark, parameters={"a": "b"}, grid=GRID))
+    assert compose.findings(doc) == [] and doc["band_count"] == 44 and doc["bands"][31]["label_de"] == "Eignungsflächen"
+    assert all(b["label_de"] and b["familie"] and b["stufe"] in doc["stufe_order"] for b in doc["bands"])
+    assert [b["label_de"] for b in doc["bands"] if b["value_type"] == "percent_0_100"] == ["Unschärfe schwach", "Unschärfe mittel", "Unschärfe stark", "Unschärfe sehr stark"]
+    touched = {c["id"]: {bands.BANDS[i - 1] for i in c["affects"]["bands"]} for c in doc["caveats"]}
+    assert touched["blur_bleed"] == {b for b in bands.BANDS if b.startswith("available_blur")} and "haeuser_im_gruenen" not in touched["noe_dkm"]
+    assert compose.header_findings(doc, 44, 60, 50, GRID.crs) == [] and len(compose.header_findings(doc, 43, 60, 51, "x")) == 3
+    own = compose.report(doc)
+    assert sum(map(len, own["by_role"].values())) == sum(map(len, own["by_category"].values())) == 44 and own["findings"] == []
+    assert "# Band 32: Eignungsflächen" in compose.band_page(doc["bands"][31])
+    assert compose.table_page(["a"], [["x|y"], [None]]) == "| a |\n| --- |\n| x\\|y |\n|  |\n"
