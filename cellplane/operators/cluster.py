@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,16 +26,39 @@ def eps_components(points: DataFrame, eps: float) -> DataFrame:
     return linked(points, pairs_within(points, eps))
 
 
+def _neighbours(points: DataFrame, half: bool = False) -> DataFrame:
+    """Each point once for each cell (nx, ny) that can hold points within eps of it: its own and 20 around; half: those after its own in order."""
+    steps = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if abs(dx) + abs(dy) < 4 and (not half or (dx, dy) > (0, 0))]
+    cells = F.array(*[F.struct((F.col("cx") + dx).alias("nx"), (F.col("cy") + dy).alias("ny")) for dx, dy in steps])
+    return points.withColumn("__n", F.explode(cells)).select(*points.columns, "__n.*")
+
+
 def dbscan(points: DataFrame, eps: float, min_pts: int) -> DataFrame:
-    """(id, cluster, core). A point counts itself; noise has a null cluster; a border point joins the least cluster of its core neighbours."""
-    edges = _cut(pairs_within(points, eps))
-    ends = edges.select(F.col("a").alias("id"), F.col("b").alias("o")).union(edges.select("b", "a"))
-    degree = ends.groupBy("id").agg((F.count("*") + 1).alias("n"))
-    core = points.select("id").join(degree, "id", "left").filter(F.coalesce("n", F.lit(1)) >= min_pts).select("id")
-    inner = edges.join(core.withColumnRenamed("id", "a"), "a", "left_semi").join(core.withColumnRenamed("id", "b"), "b", "left_semi")
-    cores = _cut(linked(core, inner))
-    border = ends.join(cores.select(F.col("id").alias("o"), "cluster"), "o").groupBy("id").agg(F.min("cluster").alias("near"))
-    out = points.select("id").join(cores, "id", "left").withColumn("core", F.col("cluster").isNotNull()).join(border, "id", "left")
+    """(id, cluster, core). A point counts itself; noise has a null cluster; a border point joins the least cluster of its core neighbours.
+
+    Points lie in cells whose diagonal is eps. In a cell of min_pts points all are core, whatever lies around; only points of thinner cells
+    are counted against their neighbours. The core points of a cell are of one cluster, so cells are linked, not points: one pair
+    within eps is enough, and no pairs of a dense cell come out.
+    """
+    side = eps / math.sqrt(2) * (1 - 1e-12)
+    cell = lambda c: F.floor(F.col(c) / side).cast("long")
+    own = points.select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    own = _cut(own.withColumns({"cx": cell("x"), "cy": cell("y")}))
+    at = own.join(own.groupBy("cx", "cy").agg(F.count("*").alias("n")), ["cx", "cy"])
+    other = lambda df, *more: df.select(F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("cx").alias("ocx"), F.col("cy").alias("ocy"), *more)
+    near = (F.col("nx") == F.col("ocx")) & (F.col("ny") == F.col("ocy")) & (F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy")) <= eps)
+    thin = at.filter(F.col("n") < min_pts).drop("n")
+    enough = _neighbours(thin).join(other(own), near).groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pts)
+    core = _cut(at.filter(F.col("n") >= min_pts).select(*thin.columns).unionByName(thin.join(enough.select("id"), "id", "left_semi").select(*thin.columns)))
+    cells = _cut(core.groupBy("cx", "cy").agg(F.min("id").alias("least")))
+    links = _neighbours(core, half=True).join(other(core), near, "left_semi").select("cx", "cy", "nx", "ny").distinct()
+    ends = links.join(cells.withColumnRenamed("least", "a"), ["cx", "cy"]).join(cells.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("least").alias("b")), ["nx", "ny"])
+    found = linked(cells.select(F.col("least").alias("id")), ends.select("a", "b"))
+    cells = _cut(cells.join(found.withColumnRenamed("id", "least"), "least").select("cx", "cy", "cluster"))
+    cores = _cut(core.join(cells, ["cx", "cy"]))
+    rest = thin.join(cores.select("id"), "id", "left_anti")
+    border = _neighbours(rest).join(other(cores, "cluster"), near).groupBy("id").agg(F.min("cluster").alias("near"))
+    out = points.select("id").join(cores.select("id", "cluster"), "id", "left").withColumn("core", F.col("cluster").isNotNull()).join(border, "id", "left")
     return out.select("id", F.coalesce("cluster", "near").alias("cluster"), "core")
 
 

@@ -21,10 +21,15 @@ def _around(df: DataFrame, side: float) -> DataFrame:
     return out.withColumns({"__bx": _square(F.col("x"), side) + F.col("__dx"), "__by": _square(F.col("y"), side) + F.col("__dy")}).drop("__dx", "__dy")
 
 
+def _others(right: DataFrame, radius: float) -> DataFrame:
+    """(other, ox, oy) with their squares."""
+    own = right.select(F.col("id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+    return own.withColumns({"__bx": _square(F.col("ox"), radius), "__by": _square(F.col("oy"), radius)})
+
+
 def near_pairs(left: DataFrame, right: DataFrame, radius: float, exclusive: bool) -> DataFrame:
     """(id, x, y) of both sides: (id, other, distance) of all pairs nearer than radius (or as near, if not exclusive)."""
-    left = _around(left.select("id", "x", "y"), radius)
-    right = right.select(F.col("id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy")).withColumns({"__bx": _square(F.col("ox"), radius), "__by": _square(F.col("oy"), radius)})
+    left, right = _around(left.select("id", "x", "y"), radius), _others(right, radius)
     d = F.hypot(F.col("x").cast("double") - F.col("ox"), F.col("y").cast("double") - F.col("oy"))
     out = left.join(right, ["__bx", "__by"]).withColumn("distance", d)
     return out.filter(F.col("distance") < radius if exclusive else F.col("distance") <= radius).select("id", "other", "distance")
@@ -37,8 +42,11 @@ def nearest_within(left: DataFrame, right: DataFrame, radius: float) -> DataFram
 
 
 def any_within(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
-    """Left rows with a right point nearer than radius."""
-    return left.join(near_pairs(left, right, radius, True).select("id").distinct(), "id", "left_semi")
+    """Left rows with a right point nearer than radius. A semi join: the first hit settles a square, no pairs come out."""
+    at, other = _around(left.select("id", "x", "y"), radius), _others(right, radius).withColumnsRenamed({"__bx": "__ox", "__by": "__oy"})
+    near = F.hypot(F.col("x").cast("double") - F.col("ox"), F.col("y").cast("double") - F.col("oy")) < radius
+    hit = at.join(other, (F.col("__bx") == F.col("__ox")) & (F.col("__by") == F.col("__oy")) & near, "left_semi").select("id").distinct()
+    return left.join(hit, "id", "left_semi")
 
 
 def pairs_within(points: DataFrame, eps: float) -> DataFrame:
@@ -95,11 +103,15 @@ def inside(x: Column, y: Column, rings: Column) -> Column:
     return F.aggregate(F.transform(rings, crossings), F.lit(0), lambda a, v: a + v) % 2 == 1
 
 
+def _squares(df: DataFrame, box: str, side: float) -> DataFrame:
+    """Each row once for each helper square that its box meets."""
+    out = df.withColumn("__bx", F.explode(F.sequence(_square(F.col(f"{box}.minx"), side), _square(F.col(f"{box}.maxx"), side))))
+    return out.withColumn("__by", F.explode(F.sequence(_square(F.col(f"{box}.miny"), side), _square(F.col(f"{box}.maxy"), side))))
+
+
 def tiled(polygons: DataFrame, side: float) -> DataFrame:
     """Each polygon once for each helper square that its box meets."""
-    polygons = polygons.withColumn("__b", bounds(F.col("rings")))
-    out = polygons.withColumn("__bx", F.explode(F.sequence(_square(F.col("__b.minx"), side), _square(F.col("__b.maxx"), side))))
-    return out.withColumn("__by", F.explode(F.sequence(_square(F.col("__b.miny"), side), _square(F.col("__b.maxy"), side)))).drop("__b")
+    return _squares(polygons.withColumn("__b", bounds(F.col("rings"))), "__b", side).drop("__b")
 
 
 def covering(points: DataFrame, polygons: DataFrame, side: float) -> DataFrame:
@@ -119,8 +131,12 @@ def smallest_cover(points: DataFrame, polygons: DataFrame, side: float) -> DataF
 
 def overlapping(a: DataFrame, b: DataFrame, side: float) -> DataFrame:
     """(poly, other) of shapes whose outlines cross or of which one holds a corner of the other. a, b: (poly, rings)."""
-    left, right = tiled(a.select("poly", "rings"), side), tiled(b.select(F.col("poly").alias("other"), F.col("rings")), side).withColumnRenamed("rings", "rings2")
-    pairs = left.join(right, ["__bx", "__by"]).dropDuplicates(["poly", "other"])
+    box = lambda df, key, name: df.select(F.col("poly").alias(key), bounds(F.col("rings")).alias(name))
+    left, right = _squares(box(a, "poly", "p"), "p", side), _squares(box(b, "other", "q"), "q", side)
+    meet = (F.col("p.minx") <= F.col("q.maxx")) & (F.col("q.minx") <= F.col("p.maxx")) & (F.col("p.miny") <= F.col("q.maxy")) & (F.col("q.miny") <= F.col("p.maxy"))
+    # Only ids and boxes meet in the squares; the rings are fetched once for each pair of boxes that meet.
+    pairs = left.join(right, ["__bx", "__by"]).filter(meet).select("poly", "other").distinct()
+    pairs = pairs.join(a.select("poly", "rings"), "poly").join(b.select(F.col("poly").alias("other"), F.col("rings").alias("rings2")), "other")
     first = lambda rings: F.get(F.get(rings, 0), 0)
     one, two = F.col("rings"), F.col("rings2")
     hit = inside(first(two)["x"], first(two)["y"], one) | inside(first(one)["x"], first(one)["y"], two) | F.exists(edges(one), lambda e: F.exists(edges(two), lambda f: crossing(e, f)))

@@ -72,7 +72,7 @@ def hull_mask(s, d):
 def signals(s, d):
     """Six signals of each candidate, and the label of the hull its cell lies in (-1 outside)."""
     c = spots(s, d, "candidates")
-    near = lambda name, r: spatial.near_pairs(c, spots(s, d, name), r, True).select("id").distinct().withColumn(name, F.lit(True))
+    near = lambda name, r: spatial.any_within(c, spots(s, d, name), r).select("id").withColumn(name, F.lit(True))
     code = spots(s, d, "register", f"{SPOT_CODE} AS code").select(F.col("id").alias("nearest"), "code")
     reg = spatial.nearest_within(c, spots(s, d, "register"), 100.0).join(code, "nearest", "left").select("id", "nearest", "code")
     out = c.join(near("addresses", 100.0), "id", "left").join(near("gardens", 150.0), "id", "left").join(reg, "id", "left")
