@@ -3,7 +3,7 @@
 import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -190,13 +190,56 @@ def test_pipeline(spark, docs, rows, tmp_path):
     assert sorted(i for i, _ in second) == sorted({i for i, _ in first if least[i] == i})
     spans = brute_spans(second, 100)
     third = {r.doc_id: r.text for r in kept["repeated_passages"]}
+    want = {}
     for i, t in second:
-        whole = bytes(b for p, b in enumerate(t.encode()) if p not in spans[i, t])
-        if i in third:
-            assert third[i].encode() == whole or len(third[i].encode()) - len(whole) <= 3 * len(spans[i, t])
-        else:
-            assert not WORD.search(whole.decode(errors="ignore"))
+        at, left = 0, []
+        for c in t:  # a character goes if all its bytes do
+            n = len(c.encode())
+            left += [] if set(range(at, at + n)) <= spans[i, t] else [c]
+            at += n
+        if WORD.search("".join(left)):
+            want[i] = "".join(left)
+    assert third == want
     fourth = [r.doc_id for r in kept["mixture"]]
     assert set(fourth) <= set(third) and max(map(fourth.count, set(fourth))) <= 2
     assert sorted(r.doc_id for r in kept["packed"]) == sorted(fourth)
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted(fourth)
+
+
+def pipeline():
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+    import corpus_pipeline
+
+    return corpus_pipeline
+
+
+def test_stages_on_an_empty_table(spark, tmp_path):
+    stages = pipeline()
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    for name, stage in stages.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0 and (name == "packed" or out.columns == stages.COLUMNS)
+
+
+def test_rows_of_one_id(spark, tmp_path):
+    """Only links take documents away: rows of one id with different texts stay, repeated and linked ones leave one."""
+    stages = pipeline()
+    text = lambda seed: " ".join(f"w{seed}x{i}" for i in range(60))
+    rows = [(5, text(1)), (5, text(2)), (5, text(2)), (3, text(2) + " end"), (9, text(3)), (9, text(3)), (7, None), (7, ""), (None, text(1)), (8, "one two"), (2**62 + 1, text(4)), (-5, text(4))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, extra string")
+    got = [(r.doc_id, r.text) for r in stages.near_copies(spark, docs, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(5, text(1)), (3, text(2) + " end"), (9, text(3)), (7, None), (7, ""), (None, text(1)), (8, "one two"), (-5, text(4))], key=str)
+
+
+def test_mixture_and_packing_of_odd_rows(spark, tmp_path):
+    stages = pipeline()
+    rows = [(1, None, None), (2, "", "a"), (3, "a b c", "a"), (3, "a b c", "a"), (4, "d " * 70_000, None), (5, "e f", "b")]
+    docs = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = stages.mixture(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id for r in out} <= {3, 4, 5} and all(r.text for r in out) and Counter(r.doc_id for r in out)[3] in (0, 2, 4)
+    placed = stages.packed(spark, docs, str(tmp_path)).collect()
+    assert sorted(r.n_tokens for r in placed) == [0, 0, 2, 3, 3, 70_000] and len({(r.bucket_len, r.batch, r.slot) for r in placed}) == 6
