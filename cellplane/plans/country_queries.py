@@ -14,7 +14,7 @@ COUNTRY = GridSpec(24001, 14001, 25.0, 0.0, 14001 * 25.0)
 #: Layers: table, row and column (before the remainder by the grid), buffer in metres.
 LAYERS = {
     "settlement_buffer": ("customer", "c_custkey * 7919 + c_nationkey * 104729", "c_custkey * 15485863 + c_nationkey * 32452843", 750.0),
-    "general_buildings_buffer": ("part", "p_partkey * 6007 + p_size * 49979687", "p_partkey * 86028121 + p_size * 2097593", 250.0),
+    "general_buildings_buffer": ("part", "p_partkey * 6007 + p_size * 4999", "p_partkey * 86028121 + p_size * 2097593", 250.0),
     "nature_protection_areas": ("supplier", "s_suppkey * 99991 + s_nationkey * 7907", "s_suppkey * 611953 + s_nationkey * 1299709", 1000.0),
 }
 
