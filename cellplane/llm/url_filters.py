@@ -72,8 +72,12 @@ def tokens(url: Column) -> Column:
 def mine(labelled: DataFrame, support: float = 0.005, confidence: float = 0.4) -> DataFrame:
     """Rules (rule_id, items, confidence, support) whose consequent is BAD. labelled: items (array), without repeats."""
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence, numPartitions=partitions(labelled.sparkSession)).fit(labelled)
-    rules = model.associationRules.filter(F.element_at("consequent", 1) == BAD)
-    return materialise(rules.select(F.xxhash64(F.array_sort("antecedent")).alias("rule_id"), F.array_sort("antecedent").alias("items"), "confidence", "support"), "url-rules")
+    # Only rules for the one class are wanted: a set with it and the same set without it meet in one group.
+    sets = model.freqItemsets.select(F.array_sort(F.array_remove("items", BAD)).alias("items"), F.array_contains("items", BAD).alias("bad"), "freq").filter(F.size("items") > 0)
+    counts = sets.groupBy("items").agg(F.max(F.when(F.col("bad"), F.col("freq"))).alias("hits"), F.max(F.when(~F.col("bad"), F.col("freq"))).alias("n"))
+    rules = counts.filter(F.col("hits") / F.col("n") >= confidence)
+    share = F.col("hits") / F.lit(float(max(1, labelled.count())))
+    return materialise(rules.select(F.xxhash64("items").alias("rule_id"), "items", (F.col("hits") / F.col("n")).alias("confidence"), share.alias("support")), "url-rules")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
