@@ -172,6 +172,7 @@ def tallied(kind: int, parts: list[tuple[np.ndarray, ...]]) -> pa.Table:
 
 def candidates(t: pa.Table) -> pa.Table:
     """What the nodes of one receiver share, see MET."""
+    pa.default_memory_pool().release_unused()  # what the group before this one held
     digit, s, n = joined([unpack(d) for d in t.column("data").to_pylist()], ("u8", "u8", "i8"))
     s = s.view(np.int64)
     order = np.lexsort((s, n, digit))
@@ -370,6 +371,7 @@ def links_of(own: list[np.ndarray], other: list[np.ndarray], left: np.ndarray, r
 
 def unit_links(t: pa.Table) -> pa.Table:
     """Links of the nodes (s, root, links) of a bin of whole units, or of one or two blocks of a unit; nodes without links are left out."""
+    pa.default_memory_pool().release_unused()
     places, earlier = lists_of(t, "places"), lists_of(t, "earlier")
     out = [(np.empty(0, np.int64),) * 3]
     for _, rows, s, left, right in by_unit(t):

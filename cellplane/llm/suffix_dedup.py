@@ -39,7 +39,7 @@ POSITION = (1 << BLOCK_BITS) - 1
 #: Records that a sender gathers before it packs them; how often it may meet an anchor until it deals it out.
 FLUSH, OFTEN = 200_000, 128
 #: Bytes of text to a receiver, and the least number of receivers.
-VOLUME, SLOTS = 8 << 20, 64
+VOLUME, SLOTS = 4 << 20, 64
 SPANS, POSTINGS, MARKERS, HOT, REQUESTS, CONTEXTS, WINDOWS = range(7)
 NULL_KEY = -(1 << 63)
 
@@ -155,6 +155,7 @@ POST = ("u8", "u8", "i8", "i8", "i8", "i8")
 
 
 def kinds_of(t: pa.Table) -> dict[int, list[list[np.ndarray]]]:
+    pa.default_memory_pool().release_unused()  # what the group before this one held
     got: dict[int, list] = {}
     for kind, data in zip(t.column("kind").to_pylist(), t.column("data").to_pylist(), strict=True):
         got.setdefault(kind, []).append(data)
