@@ -119,9 +119,11 @@ def op2_fingerprints(spark, sf_dir):
 
     def fetched(hits, by, name):
         """hits with the text of the document that its columns by name."""
-        one = docs.dropDuplicates(["doc_id", "tie"]).select(F.struct("doc_id", "tie").alias("of"), F.col("text").alias(name))
-        hits = F.broadcast(hits) if hits.count() <= 500_000 else hits
-        return one.join(hits, F.col("of").eqNullSafe(F.struct(*[F.col(x).alias(y) for x, y in zip(by, ("doc_id", "tie"), strict=True)]))).drop("of")
+        small = hits.count() <= 500_000
+        wanted = hits.select(F.struct(*[F.col(x).alias(y) for x, y in zip(by, ("doc_id", "tie"), strict=True)]).alias("asked")).distinct()
+        one = docs.select(F.struct("doc_id", "tie").alias("of"), F.col("text").alias(name))
+        one = one.join(F.broadcast(wanted) if small else wanted, F.col("of").eqNullSafe(F.col("asked")), "left_semi").dropDuplicates(["of"])
+        return one.join(F.broadcast(hits) if small else hits, F.col("of").eqNullSafe(F.struct(*[F.col(x).alias(y) for x, y in zip(by, ("doc_id", "tie"), strict=True)]))).drop("of")
 
     def texts(few):
         own = materialise(pairs.join(few, "w").select("w", "doc_id", "tie"), "fp-hits")

@@ -28,10 +28,10 @@ def test_fingerprints(spark, docs, empty):
 
 
 def test_next_document(spark):
-    ids = [5, 9, 9, 1, 40, None, 12]
+    ids = [5, 9, 9, 1, 40, None, 12, 2**62 + 7, -(2**62) - 5]
     df = spark.createDataFrame([(k, f"t{i}") for i, k in enumerate(ids)], "k long, t string").withColumn("tie", F.xxhash64("t"))
     out = fingerprints.with_next(df, "k", ["t"], "tie").collect()
-    order = sorted(out, key=lambda r: (r.k is None, -(r.k or 0), r.tie))
+    order = sorted(out, key=lambda r: (r.k is None, -(r.k or 0), -r.tie))
     assert [r.next_t for r in order] == [r.t for r in order[1:] + order[:1]]
 
 
