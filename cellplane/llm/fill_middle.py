@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop, materialise, table
+from .common import bounded_batches, materialise, table
 from .words import blocks
 
 #: Bytes of a chunk, of texts scanned at once, and of a piece of a long document.
