@@ -16,6 +16,7 @@ QUERIES = {
     "op8_url_filters": ("url_filters", False),
     "op9_mixing": ("mixing", False),
     "op10_quality_knn": ("quality_knn", False),
+    "op11_token_alignment": ("token_alignment", False),
     "op12_license_scan": ("license_scan", True),
     "op13_fill_middle": ("fill_middle", False),
 }
