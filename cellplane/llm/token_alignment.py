@@ -33,13 +33,14 @@ from pyspark.sql import functions as F
 
 from .blobs import by_slot, pack, unpack
 from .bytesops import ranges
-from .common import bounded_batches, materialise, own_name, table
+from .common import bounded_batches, materialise, own_name, partitions, table
 from .words import blocks
 
 #: Where the vocabulary files are, and their names.
 TOKENIZERS, A_FILE, B_FILE = "/opt/tokenizers", "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Bytes of texts encoded at once; slots of links; stripes of the count matrix (a multiple of the slots); bytes of links a part; pairs held before they are summed up.
-BLOCK, SLOTS, STRIPES, VOLUME, HELD = 1 << 22, 32, 512, 1 << 26, 1 << 21
+#: Bytes of texts encoded at once; slots of links; stripes of the count matrix (a multiple of the slots); bytes of links a part; pairs held before they are summed up;
+#: stretches encoded together.
+BLOCK, SLOTS, STRIPES, VOLUME, HELD, RUN = 1 << 22, 32, 512, 1 << 26, 1 << 21, 256
 RESULT = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups", "groups_sha256"]
 ENCODED = "block long, slot int, data binary, idx int, key long, n_a long, n_b long, n_groups long, groups string"
 _ENCODED = pa.schema([("block", pa.int64()), ("slot", pa.int32()), ("data", pa.binary()), ("idx", pa.int32()), ("key", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("groups", pa.string())])
@@ -84,21 +85,31 @@ class Pair:
 
 
 class Aligned:
-    """Distinct stretches of a block: tokens, groups and links of each."""
+    """Distinct stretches of a block: tokens, groups and links of each. Stretches are encoded in runs, joined by blanks as in a text."""
 
     def __init__(self, p: Pair, stretches: list[str]):
-        a = [e.ids for e in p.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)]
-        b = p.b.encode(stretches, num_threads=1)
-        want = [b" " + s.encode() for s in stretches]
-        n = len(stretches)
-        self.valid = np.array([b"".join(map(p.a_bytes.__getitem__, x)) == w == b"".join(map(p.b_bytes.__getitem__, y)) for x, y, w in zip(a, b, want, strict=True)], dtype=bool)
-        a, b = ([t if ok else [] for t, ok in zip(side, self.valid, strict=True)] for side in (a, b))
-        self.n_a, self.n_b = (np.array([len(t) for t in side], dtype=np.int64) for side in (a, b))
-        a, b = (np.array([i for t in side for i in t], dtype=np.int64) for side in (a, b))
+        bare = [i for i, s in enumerate(stretches) if p.apart and s and not s[0].isspace() and not s[-1].isspace()]
+        joined = set(bare)
+        runs = [bare[i : i + RUN] for i in range(0, len(bare), RUN)] + [[i] for i in range(len(stretches)) if i not in joined]
+        order, tokens_a, tokens_b = [], [], []
+        while runs:  # a run whose bytes do not come back is taken apart
+            texts, again = [" ".join([stretches[i] for i in run]) for run in runs], []
+            ids = zip(runs, texts, p.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False), p.b.encode(texts, num_threads=1), strict=True)
+            for run, t, a, b in ids:
+                a, want = a.ids, b" " + t.encode()
+                if b"".join(map(p.a_bytes.__getitem__, a)) == want == b"".join(map(p.b_bytes.__getitem__, b)):
+                    order += run
+                    tokens_a.append(np.array(a, dtype=np.int64)), tokens_b.append(np.array(b, dtype=np.int64))
+                elif len(run) > 1:
+                    again += [[i] for i in run]
+            runs = again
+        n, m = len(stretches), len(order)
+        a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (tokens_a, tokens_b))
         end_a, end_b = np.cumsum(p.a_size[a]), np.cumsum(p.b_size[b])  # both run over the same bytes
+        ends = np.cumsum(np.array([len(stretches[i].encode()) + 1 for i in order], dtype=np.int64))
         last_a, last_b = np.isin(end_a, end_b), np.isin(end_b, end_a)
         self.links = b[last_b] * p.n_a + a[last_a]
-        self.n_groups = np.bincount(np.repeat(np.arange(n), self.n_a)[last_a], minlength=n)
+        n_a, n_b, n_groups = (np.bincount(np.searchsorted(ends, e), minlength=m) for e in (end_a, end_b, end_a[last_a]))
         # Group by group, A's tokens and then B's, each with the mark behind it.
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         ends_a, ends_b = np.flatnonzero(last_a) + 1, np.concatenate([[0], np.flatnonzero(last_b) + 1])
@@ -108,8 +119,14 @@ class Aligned:
         shown[at_a, -1], shown[at_b, -1] = np.where(last_a, ord("|"), ord(",")), np.where(last_b, ord(";"), ord(","))
         rows = np.concatenate([[0], np.cumsum(np.count_nonzero(shown, axis=1))])
         flat = shown.ravel()
-        text, cut = flat[flat != 0].tobytes(), rows[np.concatenate([[0], np.cumsum(self.n_a + self.n_b)])].tolist()
-        self.text = [text[s:e] for s, e in zip(cut, cut[1:], strict=False)]
+        text, cut = flat[flat != 0].tobytes(), rows[np.concatenate([[0], np.cumsum(n_a + n_b)])].tolist()
+        # Back to the order of the stretches; those without a way back to their bytes have nothing.
+        self.valid, self.text = np.zeros(n, dtype=bool), [b""] * n
+        self.valid[order] = True
+        for i, s, e in zip(order, cut, cut[1:], strict=False):
+            self.text[i] = text[s:e]
+        self.n_a, self.n_b, self.n_groups, self.first = (np.zeros(n, dtype=np.int64) for _ in range(4))
+        self.n_a[order], self.n_b[order], self.n_groups[order], self.first[order] = n_a, n_b, n_groups, np.cumsum(n_groups) - n_groups
 
 
 def encoded(docs: DataFrame, key: str, text: str, files: tuple[bytes, bytes], block: int = BLOCK) -> DataFrame:
@@ -144,7 +161,7 @@ def encoded(docs: DataFrame, key: str, text: str, files: tuple[bytes, bytes], bl
         pair, times = np.unique(doc * max(len(known), 1) + each, return_counts=True)
         doc, each = np.divmod(pair, max(len(known), 1))
         many = s.n_groups[each]
-        link = s.links[ranges((np.cumsum(s.n_groups) - s.n_groups)[each], many)]
+        link = s.links[ranges(s.first[each], many)]
         code, back = np.unique(np.repeat(doc, many) * (p.n_a * p.n_b) + link, return_inverse=True)
         times = np.bincount(back, weights=np.repeat(times, many), minlength=len(code)).astype(np.int64)
         doc, link = np.divmod(code, p.n_a * p.n_b)
@@ -216,7 +233,7 @@ def pair_counts(links: DataFrame, n_a: int, n_b: int) -> DataFrame:
             yield done()
 
     parts = links.select("data").mapInArrow(partial, "stripe int, data binary")
-    return parts.repartition("stripe").sortWithinPartitions("stripe").mapInArrow(dense, "slot int, data binary")
+    return parts.repartition(min(STRIPES, max(16, partitions(links.sparkSession))), "stripe").sortWithinPartitions("stripe").mapInArrow(dense, "slot int, data binary")
 
 
 def scored(links: DataFrame, counts: DataFrame, n_a: int, volume: int = VOLUME) -> DataFrame:
