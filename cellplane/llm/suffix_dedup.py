@@ -18,7 +18,7 @@ bits, runs as one of 64 more, windows of hot anchors as one of 128. Receivers ar
 (`VOLUME` each, `SLOTS` at least), whatever the session's partitions.
 
 Defined results: null texts count as empty. Rows that agree in key and text count as one document, and each row gets its result; rows
-of one key with different texts are ordered by a hash of the text. Null keys come first; keys must be whole numbers or castable to such.
+of one key with different texts are told apart and ordered by a hash of 62 bits, which is checked for clashes before use. Null keys come first; keys must be whole numbers or castable to such.
 Texts of any length are worked on whole, in overlapping pieces. Other columns are returned as they are, but for those named like the two new
 ones, which are replaced. An empty table gives an empty result.
 """
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blobs import DDL, SCHEMA, as_table, batch, by_slot, joined, pack, unpack
@@ -299,15 +299,29 @@ def cut_out(fields: list[str], schema: pa.Schema, characters: bool):
     return run
 
 
-def without_repeats(docs: DataFrame, key: str, text: str, threshold: int = 100, characters: bool = False) -> DataFrame:
-    """docs with removed_spans (array of start, end in bytes) and kept (the other bytes). characters: cut no character apart."""
+def identity(docs: DataFrame, key: Column, text: Column, bits: int) -> Column:
+    """A hash of key and text by which no two different texts of one key agree: another seed is taken if two do.
+
+    Agreement is told by a second hash of 64 bits and the length. A row of five numbers for each document is shuffled for it.
+    """
+    for seed in range(64):
+        th = F.xxhash64(F.lit(seed), key, text).bitwiseAND(F.lit((1 << bits) - 1))
+        seen = docs.select(key.alias("k"), th.alias("th"), F.xxhash64(F.lit(-1 - seed), text).alias("x"), F.octet_length(text).alias("n")).groupBy("k", "th")
+        if not seen.agg(F.min("x").alias("a"), F.max("x").alias("b"), F.min("n").alias("c"), F.max("n").alias("d")).filter("a <> b or c <> d").head(1):
+            return th
+    raise ValueError(f"{bits} bits do not tell the texts of one key apart")
+
+
+def without_repeats(docs: DataFrame, key: str, text: str, threshold: int = 100, characters: bool = False, bits: int = 62) -> DataFrame:
+    """docs with removed_spans (array of start, end in bytes) and kept (the other bytes). characters: cut no character apart. bits: of the
+    hash by which rows of one key are told apart."""
     if threshold < GRAM:
         raise ValueError(f"threshold must be at least {GRAM}")
     bounded_batches(docs.sparkSession)
     volume = docs.agg(F.sum(F.octet_length(F.col(text).cast("binary")))).first()[0] or 0
     slots = parts = max(SLOTS, -(-volume // VOLUME))
     k = F.coalesce(F.col(key).cast("long"), F.lit(NULL_KEY))
-    th = F.xxhash64(F.col(key), F.col(text)).bitwiseAND(F.lit(0xFFFFFFFF))
+    th = identity(docs, k, F.coalesce(F.col(text).cast("binary"), F.lit(b"")), bits)
     carried = [c for c in docs.columns if c not in (text, "removed_spans", "kept")]
     fields = [f"c{i}" for i in range(len(carried))]
     keyed = docs.select(

@@ -1,6 +1,7 @@
 """Operators on whole texts against plain ones: fingerprints, n-gram join, quality rules, repeated passages, sharding."""
 
 import hashlib
+import random
 import re
 import unicodedata
 from collections import Counter
@@ -163,6 +164,23 @@ def test_repeated_passages(docs, rows, empty, monkeypatch, often):
     assert suffix_dedup.without_repeats(empty, "doc_id", "text").count() == 0
 
 
+def test_passages_of_one_key(spark):
+    """Texts of one key, null or not, stay apart although few bits of their hash are taken: clashes change the seed."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    passage = " ".join(word() for _ in range(20))
+    texts = [f"{word()} {passage} {word()}", f"{passage} {word()} {word()}", *(" ".join(word() for _ in range(30)) for _ in range(4))]
+    for key in (None, 5):
+        df = spark.createDataFrame([(key, t) for t in texts] + [(key, texts[2])], "id long, text string").repartition(3)
+        out = suffix_dedup.without_repeats(df, "id", "text", bits=5).select("text", "removed_spans", "kept").collect()
+        assert len(out) == 7
+        with_passage = [r for r in out if passage in r.text]
+        assert all(not r.removed_spans and r.kept.decode() == r.text for r in out if passage not in r.text)
+        assert sorted(len(r.text) - len(r.kept) >= len(passage) for r in with_passage) == [False, True]
+    with pytest.raises(ValueError):
+        suffix_dedup.without_repeats(df, "id", "text", bits=1)
+
+
 def test_whole_characters(spark):
     text = "é" * 80 + " "
     df = spark.createDataFrame([(1, "x" + text + "a"), (2, "yy" + text + "b")], "id long, text string")
