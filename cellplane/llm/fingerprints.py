@@ -123,7 +123,8 @@ def op2_fingerprints(spark, sf_dir):
         wanted = hits.select(F.struct(*[F.col(x).alias(y) for x, y in zip(by, ("doc_id", "tie"), strict=True)]).alias("asked")).distinct()
         one = docs.select(F.struct("doc_id", "tie").alias("of"), F.col("text").alias(name))
         one = one.join(F.broadcast(wanted) if small else wanted, F.col("of").eqNullSafe(F.col("asked")), "left_semi").dropDuplicates(["of"])
-        return one.join(F.broadcast(hits) if small else hits, F.col("of").eqNullSafe(F.struct(*[F.col(x).alias(y) for x, y in zip(by, ("doc_id", "tie"), strict=True)]))).drop("of")
+        sent = small and "text" not in hits.columns  # numbers only: 500,000 rows of them are some MB; texts never go to all executors
+        return one.join(F.broadcast(hits) if sent else hits, F.col("of").eqNullSafe(F.struct(*[F.col(x).alias(y) for x, y in zip(by, ("doc_id", "tie"), strict=True)]))).drop("of")
 
     def texts(few):
         own = materialise(pairs.join(few, "w").select("w", "doc_id", "tie"), "fp-hits")
