@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellplane.functions.grid import GridSpec
 from cellplane.functions.scalars import residual_reason
-from cellplane.operators import cluster, labels, outlines, rasterise, runs, spatial
+from cellplane.operators import cluster, labels, outlines, overlay, rasterise, runs, spatial
 from cellplane.scratch import materialise
 
 
@@ -43,7 +43,7 @@ def coverage(shapes: DataFrame, grid: GridSpec) -> DataFrame:
     """One row that holds shapes (id, kind, rings) against their raster.
 
     The raster takes every touched cell; the halo is what it has beyond the cells whose centres are covered. The raster's area may
-    differ from the shapes' by the length of their common outline times a cell's side. Union and outline are those of the covered cells.
+    differ from the shapes' by the length of their common outline times a cell's side. Union and outline are those of the polygons united.
     """
     cell = grid.cell_m**2
     touched = materialise(rasterise.burnt(shapes, grid), "cover-touched")
@@ -52,14 +52,15 @@ def coverage(shapes: DataFrame, grid: GridSpec) -> DataFrame:
     count = lambda mask, name: mask.agg(F.coalesce(runs.n_cells(mask), F.lit(0)).cast("long").alias(name))
     parts = labels.sizes(labels.components(halo, grid, 4)).agg(F.count("*").alias("halo_components"), F.coalesce(F.max("cells"), F.lit(0)).alias("largest"))
     vector = shapes.agg(F.count("*").alias("n_shapes"), F.coalesce(F.sum(spatial.area(F.col("rings"))), F.lit(0.0)).alias("vector_m2"))
-    outline = perimeter(centre.withColumn("all", F.lit(1)), "all", grid.cell_m).agg(F.coalesce(F.sum("perimeter_m"), F.lit(0.0)).alias("perimeter_m"))
+    united = overlay.measures(overlay.united(shapes.select(F.lit(1).alias("all"), "rings"), "all"), "all")
+    outline = united.agg(F.coalesce(F.sum("area"), F.lit(0.0)).alias("union_m2"), F.coalesce(F.sum("perimeter"), F.lit(0.0)).alias("perimeter_m"))
     row = vector  # one row each
-    for one in (count(touched, "t"), count(centre, "c"), count(halo, "halo_cells"), count(runs.and_not(halo, runs.border(halo, grid)), "e"), parts, outline):
+    for one in (count(touched, "t"), count(halo, "halo_cells"), count(runs.and_not(halo, runs.border(halo, grid)), "e"), parts, outline):
         row = row.crossJoin(one)
     threshold = F.col("perimeter_m") / 1000 * grid.cell_m / 1000
     diff = (F.col("t") * cell - F.col("vector_m2")) / 1e6
     return row.select(
-        "n_shapes", "vector_m2", (F.col("c") * cell).alias("union_m2"), (F.col("t") * cell).alias("raster_m2"), "perimeter_m", "halo_cells", "halo_components", (F.col("largest") * cell / 1e4).alias("halo_largest_ha"),
+        "n_shapes", "vector_m2", "union_m2", (F.col("t") * cell).alias("raster_m2"), "perimeter_m", "halo_cells", "halo_components", (F.col("largest") * cell / 1e4).alias("halo_largest_ha"),
         F.when(F.col("halo_cells") > 0, F.col("e") / F.col("halo_cells")).otherwise(0.0).alias("halo_eroded_fraction"), threshold.alias("threshold_km2"), diff.alias("diff_km2"), (F.abs(diff) <= threshold).alias("within"),
     )
 

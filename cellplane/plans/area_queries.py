@@ -10,26 +10,22 @@ from cellplane.plans import bands, graph
 from cellplane.plans.join_queries import _CAND_CELLS, _HULL, boxes, boxes_sql, hull_mask, spots, spots_sql
 from cellplane.plans.placed import GRID, GRID_SQL, VALID_SQL, components_sql, disc_sql, mask, points_sql, read, valid, zones
 from cellplane.plans.plane_queries import _CENTRE, _DEM, _TOUCH, dem, shapes
+from cellplane.plans.vector_queries import slabs_sql
 
 
 def coverage(s, d):
-    return areas.coverage(shapes(s, d), GRID).withColumns({c: F.round(c, 6) for c in ("vector_m2", "halo_eroded_fraction", "threshold_km2", "diff_km2", "halo_largest_ha")})
+    return areas.coverage(shapes(s, d), GRID).withColumns({c: F.round(c, 6) for c in ("vector_m2", "union_m2", "perimeter_m", "halo_eroded_fraction", "threshold_km2", "diff_km2", "halo_largest_ha")})
 
 
 def _burnt(how, name):
     return f"{name} AS (SELECT DISTINCT g.row, g.col FROM (SELECT poly, {how} FROM b) e JOIN grid g ON g.row BETWEEN e.r0 AND e.r1 AND g.col BETWEEN e.c0 AND e.c1)"
 
 
-def _exposed(cells):
-    """Exposed sides of cells (row, col)."""
-    return f"(SELECT 4 * count(*) FROM {cells}) - 2 * (SELECT count(*) FROM {cells} p JOIN {cells} q ON q.row = p.row AND q.col = p.col + 1) - 2 * (SELECT count(*) FROM {cells} p JOIN {cells} q ON q.col = p.col AND q.row = p.row + 1)"
-
-
-_COVERAGE = f"""WITH RECURSIVE {GRID_SQL}, {boxes_sql('b')}, {_burnt(_TOUCH, 't')}, {_burnt(_CENTRE, 'c')}, halo AS (SELECT * FROM t EXCEPT SELECT * FROM c), {components_sql('halo', 'lab', 4)},
+_COVERAGE = f"""WITH RECURSIVE {GRID_SQL}, {boxes_sql('b')}, {_burnt(_TOUCH, 't')}, {_burnt(_CENTRE, 'c')}, halo AS (SELECT * FROM t EXCEPT SELECT * FROM c), {components_sql('halo', 'lab', 4)}, one AS (SELECT 1 AS g, * FROM b), {slabs_sql('one')},
  e AS (SELECT h.* FROM halo h WHERE (SELECT count(*) FROM halo n WHERE abs(n.row - h.row) + abs(n.col - h.col) = 1 AND n.row BETWEEN h.row - 1 AND h.row + 1) = 4),
- v AS (SELECT (SELECT count(*) FROM b) AS n_shapes, (SELECT sum(w * h) FROM b) AS vector_m2, (SELECT count(*) FROM c) * 625.0::DOUBLE AS union_m2, (SELECT count(*) FROM t) * 625.0::DOUBLE AS raster_m2, ({_exposed('c')}) * 25.0::DOUBLE AS perimeter_m,
+ v AS (SELECT (SELECT count(*) FROM b) AS n_shapes, (SELECT sum(w * h) FROM b) AS vector_m2, (SELECT area FROM union_m) AS union_m2, (SELECT count(*) FROM t) * 625.0::DOUBLE AS raster_m2, (SELECT perimeter FROM union_m) AS perimeter_m,
   (SELECT count(*) FROM halo) AS halo_cells, (SELECT count(DISTINCT label) FROM lab) AS halo_components, (SELECT coalesce(max(n), 0) FROM (SELECT count(*) AS n FROM lab GROUP BY label)) AS big, (SELECT count(*) FROM e) AS eroded)
- SELECT n_shapes, round(vector_m2, 6) AS vector_m2, union_m2, raster_m2, perimeter_m, halo_cells, halo_components, round(big * 0.0625::DOUBLE, 6) AS halo_largest_ha, round(CASE WHEN halo_cells > 0 THEN eroded / halo_cells::DOUBLE ELSE 0 END, 6) AS halo_eroded_fraction,
+ SELECT n_shapes, round(vector_m2, 6) AS vector_m2, round(union_m2, 6) AS union_m2, raster_m2, round(perimeter_m, 6) AS perimeter_m, halo_cells, halo_components, round(big * 0.0625::DOUBLE, 6) AS halo_largest_ha, round(CASE WHEN halo_cells > 0 THEN eroded / halo_cells::DOUBLE ELSE 0 END, 6) AS halo_eroded_fraction,
   round(perimeter_m / 1000 * 0.025::DOUBLE, 6) AS threshold_km2, round((raster_m2 - vector_m2) / 1e6, 6) AS diff_km2, abs((raster_m2 - vector_m2) / 1e6) <= perimeter_m / 1000 * 0.025::DOUBLE AS within FROM v"""
 
 

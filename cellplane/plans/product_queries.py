@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cellplane.operators import outlines, runs
 from cellplane.plans import compose
 from cellplane.plans.cell_queries import _RAW, nature, settlement_buffer
-from cellplane.plans.join_queries import boxes, spots
+from cellplane.plans.join_queries import spots
 from cellplane.plans.placed import GRID, VALID_SQL, components_sql, mask, valid
 
 
@@ -22,18 +22,6 @@ def compose_bands(s, d):
     return out
 
 
-TILE, HALO = 1024, 512
-
-
-def polygonize(s, d):
-    """Faces of the outlines of all boxes, cut at tiles of 1024 m: each tile sees the boxes that meet it or its halo."""
-    ring = F.get("rings", 0)
-    closed = boxes(s, d).select(F.array(F.concat(ring, F.slice(ring, 1, 1))).alias("rings"))
-    tiles = outlines.tiled(closed, TILE, HALO, lambda x, y: F.when(x.between(0, 9) & y.between(0, 9), x * 10 + y))
-    inside = lambda tile, side=TILE: (tile // 10 * side, tile % 10 * side, (tile // 10 + 1) * side, (tile % 10 + 1) * side)
-    return outlines.polygonised(tiles, inside).select("tile", "face", F.size(F.get("rings", 0)).alias("corners"))
-
-
 def grouped(s, d):
     """The candidates of each square of 1600 m as one set of points."""
     p = spots(s, d, "candidates")
@@ -57,7 +45,6 @@ QUERIES = {
     "compose_bands": (compose_bands, f"""WITH RECURSIVE {_RAW}, {components_sql('raw', 'lab', 4)}, h AS (SELECT * FROM human WHERE {VALID_SQL}), n AS (SELECT * FROM nature WHERE {VALID_SQL})
         SELECT 'exclusion_human' AS band, count(*) AS cells FROM h UNION ALL SELECT 'exclusion_nature', count(*) FROM n UNION ALL SELECT 'exclusion_geography', 0 UNION ALL SELECT 'all_exclusions', count(*) FROM (SELECT * FROM h UNION SELECT * FROM n)
         UNION ALL SELECT 'available_after_all_exclusions_raw', count(*) FROM raw UNION ALL SELECT 'available_cleaned_min_10ha', count(*) FROM lab WHERE label IN (SELECT label FROM lab GROUP BY label HAVING count(*) >= 160)"""),
-    "polygonize": (polygonize, None),
     "convex_hulls": (hulls, None),
     "runway_axis": (axes, None),
 }
