@@ -34,6 +34,11 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     return out
 
 
+def register(spark: SparkSession, path: str) -> None:
+    """Has a path that was written by other means go when the driver ends."""
+    _written.append((spark, path))
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
