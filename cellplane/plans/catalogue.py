@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("cell_queries", "scalar_queries", "join_queries", "plane_queries", "product_queries", "select_queries", "area_queries", "country_queries", "report_queries", "vector_queries", "tile_queries")
+MODULES = ("cell_queries", "scalar_queries", "join_queries", "plane_queries", "product_queries", "select_queries", "area_queries", "country_queries", "report_queries", "vector_queries", "tile_queries", "graph_queries")
 
 
 def _all() -> dict:
