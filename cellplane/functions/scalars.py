@@ -108,6 +108,7 @@ def hull_class(n_address: Column, n_garden: Column, n_register: Column, n_homes:
     return F.when(industrial, "industrie").when((n_address > 0) | (n_garden > 0), "bewohnt").otherwise("unbewohnt")
 
 
+# The names of the reasons are fixed values.
 def residual_reason(unassigned: Column, gap: Column, outside: Column, classified: Column) -> Column:
     """The first share of half or more names the reason."""
     return (

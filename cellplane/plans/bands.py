@@ -16,6 +16,7 @@ BANDS = (
     "available_after_all_exclusions_raw", "available_cleaned_min_10ha", "available_blur_sigma_100m", "available_blur_sigma_200m", "available_blur_sigma_250m", "available_blur_sigma_300m",
     "official_wind_zoning", "wka_bestand_ausserhalb_zonen", "haeuser_im_gruenen_source", "general_buildings_roh_osm", "general_buildings_roh_dkm", "sources_human", "sources_nature", "sources_geography",
 )
+# Groups of bands.
 HIG = ("haeuser_im_gruenen_ferienhaus", "haeuser_im_gruenen_widmung", "haeuser_im_gruenen_streusiedlung")
 HUMAN = ("settlement_buffer", "haeuser_im_gruenen", "nonresidential_hulls_buffer", "cableway_buildings_buffer", "general_buildings_buffer", "road_motorway_trunk", "road_federal_state", "rail_main", "cableway_people_150m", "military_restricted_area", "airport_area_major", "airport_runway_corridor_5km")
 NATURE = ("nature_protection_areas", "osm_nature_protection_areas")
@@ -40,7 +41,7 @@ DERIVED = {
 }
 RAW = "available_after_all_exclusions_raw"
 # Raw data that a band reads.
-ZONING = tuple(f"flaechenwidmung_{x}" for x in ("bgld", "ktn", "noe", "ooe", "sbg", "stmk", "tirol", "vbg", "wien"))
+ZONING = ("flaechenwidmung_bgld", "flaechenwidmung_ktn", "flaechenwidmung_noe", "flaechenwidmung_ooe", "flaechenwidmung_sbg", "flaechenwidmung_stmk", "flaechenwidmung_tirol", "flaechenwidmung_vbg", "flaechenwidmung_wien")
 ADMIN, REGISTER, CADASTRE, OSM = "verwaltungsgrenzen_vgd", "bev_adressregister", "dkm_geoparquet", "osm_pbf"
 SOURCES = {
     "official_settlement_source": ZONING, "settlement_buffer": (ADMIN,), "haeuser_im_gruenen_ferienhaus": ZONING, "haeuser_im_gruenen_widmung": (*ZONING, ADMIN),
@@ -48,7 +49,7 @@ SOURCES = {
     "cableway_buildings_source": (OSM, CADASTRE), "general_buildings_source": (OSM, CADASTRE, REGISTER), "road_motorway_trunk": (OSM,), "road_federal_state": (OSM,), "rail_main": (OSM,), "cableway_people_150m": (OSM,),
     "military_restricted_area": (OSM,), "airport_area_major": (OSM,), "airport_runway_corridor_5km": (OSM,), "nature_protection_areas": ("naturschutzgebiete",), "osm_nature_protection_areas": (OSM,),
     "geography_slope_too_steep": ("dgm_25m",), "geography_elevation_too_high": ("dgm_25m",), "geography_wind_too_low": ("wind_leistungsdichte_150m",), "geography_water_bodies": (OSM,),
-    "official_wind_zoning": (*[f"amtliche_windzonen_{x}" for x in ("noe", "bgld", "ktn", "stmk", "sbg")], ADMIN), "wka_bestand_ausserhalb_zonen": (OSM,),
+    "official_wind_zoning": ("amtliche_windzonen_noe", "amtliche_windzonen_bgld", "amtliche_windzonen_ktn", "amtliche_windzonen_stmk", "amtliche_windzonen_sbg", ADMIN), "wka_bestand_ausserhalb_zonen": (OSM,),
     "general_buildings_roh_osm": (OSM,), "general_buildings_roh_dkm": (CADASTRE, REGISTER),
 }
 # Buffers in metres where one value holds everywhere.
@@ -56,6 +57,7 @@ BUFFERS = {"haeuser_im_gruenen": 750.0, "nonresidential_hulls_buffer": 25.0, "ca
 CABLEWAY_ROOTS = ("cableway_buildings_source", "general_buildings_source", "general_buildings_roh_osm", "cableway_people_150m")
 # Panel sections and the prefixes that sort a band into them, in the order of the tests.
 TOTALS = {"exclusion_human": "Mensch", "tot_exclusion_human": "Mensch", "exclusion_nature": "Natur", "tot_exclusion_nature": "Natur", "exclusion_geography": "Geografie", "tot_exclusion_geography": "Geografie", "all_exclusions": "Total & Ergebnis", "tot_exclusion_all": "Total & Ergebnis", "sources_human": "Mensch", "sources_nature": "Natur", "sources_geography": "Geografie"}
+# Endings of the bands of a distance variant.
 VARIANTS = ("_default", "_800m", "_1000m", "_1200m", "_1500m", "_2000m")
 SECTIONS = (
     ("Mensch", ("settlement_", "greenland_", "haeuser_im_gruenen", "important_objects_", "cableway_buildings_", "general_buildings_", "power_", "road_", "rail_", "cableway_", "military_", "airport_", "human_", "official_settlement_", "official_hig_", "ferienhaus_", "hig_hulls_", "noe_pdf_", "bewohnt_", "nonresidential_")),

@@ -56,9 +56,8 @@ _BUCKETS = " UNION ALL ".join(f"SELECT p_partkey, '{x['bucket']}' AS bucket, '{x
 def summary(s, d):
     """Counts and sums by several sets of keys in one pass."""
     rows = read(s, d, "lineitem").selectExpr("l_returnflag", "l_linestatus", "year(l_shipdate) AS year", "l_quantity")
-    rows.createOrReplaceTempView("cellplane_summary")
     return s.sql("""SELECT l_returnflag, l_linestatus, year, count(*) AS n, cast(sum(l_quantity) AS DOUBLE) AS quantity, cast(grouping(l_returnflag) * 4 + grouping(l_linestatus) * 2 + grouping(year) AS INT) AS grain
-      FROM cellplane_summary GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_returnflag, year), (year), ())""")
+      FROM {rows} GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_returnflag, year), (year), ())""", rows=rows)
 
 
 _SUMMARY = """SELECT l_returnflag, l_linestatus, year::INTEGER AS year, count(*) AS n, sum(l_quantity)::DOUBLE AS quantity, (grouping(l_returnflag) * 4 + grouping(l_linestatus) * 2 + grouping(year))::INTEGER AS grain

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +112,10 @@ def zones(sources: Iterable[ZoneSource], enabled: bool = True) -> DataFrame | No
             df = source.read()
         except FileNotFoundError:
             continue
+        except AnalysisException as missing:  # what Spark's own readers raise
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
         one = zone_features(df, source).filter(present(F.col("rings"))).select(F.lit(source.key).alias("key"), F.lit(source.province).alias("province"), "rings")
         out = one if out is None else out.unionByName(one)
     return out

@@ -43,6 +43,8 @@ def test_registry_errors(spark):
     source = registry.ZoneSource("k", "Tirol", lambda: df, "Status", ("Eig",))
     assert registry.zone_features(df, source).count() == 1
     assert registry.zones([source]).count() == 0 and registry.zones([source], enabled=False) is None
+    gone = registry.ZoneSource("gone", "Tirol", lambda: spark.read.parquet("/nowhere/at/all"), "Status")
+    assert registry.zones([gone]) is None and registry.zones([gone, source]).count() == 0
     with pytest.raises(KeyError):
         registry.zone_features(df.drop("Status"), source)
     with pytest.raises(ValueError):
