@@ -133,8 +133,8 @@ def block_mean(k: int) -> Callable[[np.ndarray], np.ndarray]:
     return fn
 
 
-def slope_percent(tiles: DataFrame, grid: GridSpec, k: int, side: int = SIDE) -> tuple[DataFrame, GridSpec, int]:
-    """Sobel gradient of means of k x k cells, edges repeated, as rise over run in percent: tiles, their grid and side."""
+def slope_percent(tiles: DataFrame, grid: GridSpec, k: int, side: int = SIDE, fill: float = float("nan")) -> tuple[DataFrame, GridSpec, int]:
+    """Sobel gradient of means of k x k cells, edges repeated, as rise over run in percent: tiles, their grid and side. fill: the height of tiles that are not there."""
     if side % k:
         raise ValueError(f"tiles of {side} cells are not made of blocks of {k}")
     coarse = GridSpec(-(-grid.width // k), -(-grid.height // k), grid.cell_m * k, grid.x0, grid.y_top)
@@ -145,7 +145,7 @@ def slope_percent(tiles: DataFrame, grid: GridSpec, k: int, side: int = SIDE) ->
         gy = (c[:, :-2] + 2 * c[:, 1:-1] + c[:, 2:]) - (a[:, :-2] + 2 * a[:, 1:-1] + a[:, 2:])
         return np.hypot(gx, gy) / (8 * coarse.cell_m) * 100
 
-    return windowed(mapped(tiles, grid, block_mean(k), side), coarse, 1, fn, "edge", side=side // k), coarse, side // k
+    return windowed(mapped(tiles, grid, block_mean(k), side), coarse, 1, fn, "edge", fill, side // k), coarse, side // k
 
 
 def blur_percent(tiles: DataFrame, metres: float, grid: GridSpec, side: int = SIDE) -> DataFrame:

@@ -30,7 +30,7 @@ _HEIGHTS = f"h AS (SELECT ({PLACE[0]})::INTEGER AS row, ({PLACE[1]})::INTEGER AS
 
 def slopes(s, d):
     """Slope of blocks of 4 x 4 cells; cells without order lines are level at 0."""
-    found, grid, side = tiles.slope_percent(tiles.from_cells(heights(s, d), GRID, 0.0, SIDE), GRID, BLOCK, SIDE)
+    found, grid, side = tiles.slope_percent(tiles.from_cells(heights(s, d), GRID, 0.0, SIDE), GRID, BLOCK, SIDE, 0.0)
     return tiles.to_cells(found, grid, side=side).select("row", "col", F.round("v", 6).alias("slope"))
 
 
@@ -80,7 +80,30 @@ def pruned_boxes(s, d):
     return found.select("id", "brand", F.size(F.get("rings", 0)).alias("corners"))
 
 
+#: The country's grid, and the order lines' cells on it.
+COUNTRY = GridSpec(24_001, 14_001)
+FAR = ("(l_orderkey * 7919 + l_linenumber * 104729) % 14001", "(l_partkey * 3571 + l_suppkey * 613) % 24001")
+
+
+def country_slopes(s, d):
+    """Slope of blocks of 4 x 4 cells over the country's grid of 336,038,001 cells, in tiles of 256: blocks by whole percent, the level ones left out."""
+    cells = read(s, d, "lineitem").groupBy(F.expr(FAR[0]).cast("int").alias("row"), F.expr(FAR[1]).cast("int").alias("col")).agg((F.sum("l_quantity") * 16).cast("double").alias("v"))
+    found, grid, side = tiles.slope_percent(tiles.from_cells(cells, COUNTRY, 0.0), COUNTRY, BLOCK, fill=0.0)
+    steep = tiles.to_cells(found, grid, lambda v: v > 0, side)
+    return steep.groupBy(F.floor(F.round("v", 6)).alias("percent")).agg(F.count("*").alias("blocks"))
+
+
+_COUNTRY = f"""WITH h AS (SELECT (({FAR[0]}) // 4)::INTEGER AS row, (({FAR[1]}) // 4)::INTEGER AS col, sum(l_quantity)::DOUBLE * 16 AS v, any_value(({FAR[0]})) AS r, any_value(({FAR[1]})) AS c FROM lineitem GROUP BY ({FAR[0]}), ({FAR[1]})),
+ b AS (SELECT row, col, sum(v * (CASE WHEN r = 14000 THEN 4 ELSE 1 END) * (CASE WHEN c = 24000 THEN 4 ELSE 1 END)) / 16 AS v FROM h GROUP BY row, col),
+ gr AS (SELECT row AS p, col, v FROM b UNION ALL SELECT -1, col, v FROM b WHERE row = 0 UNION ALL SELECT 3501, col, v FROM b WHERE row = 3500),
+ g AS (SELECT p, col AS q, v FROM gr UNION ALL SELECT p, -1, v FROM gr WHERE col = 0 UNION ALL SELECT p, 6001, v FROM gr WHERE col = 6000),
+ k(i, j, x, y) AS (VALUES (-1, -1, -1, -1), (-1, 0, 0, -2), (-1, 1, 1, -1), (0, -1, -2, 0), (0, 1, 2, 0), (1, -1, -1, 1), (1, 0, 0, 2), (1, 1, 1, 1)),
+ t AS (SELECT p - i AS row, q - j AS col, sum(v * x) AS gx, sum(v * y) AS gy FROM g, k WHERE p - i BETWEEN 0 AND 3500 AND q - j BETWEEN 0 AND 6000 GROUP BY 1, 2),
+ u AS (SELECT sqrt(gx * gx + gy * gy) / 800 * 100 AS v FROM t)
+ SELECT floor(round(v, 6))::BIGINT AS percent, count(*) AS blocks FROM u WHERE v > 0 GROUP BY 1"""
+
 QUERIES = {
+    "country_slopes": (country_slopes, _COUNTRY),
     "tile_slopes": (slopes, _SLOPES),
     "tile_blur": (blurred, _BLURRED),
     "tile_warps": (warps, _WARPS),

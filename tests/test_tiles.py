@@ -53,6 +53,17 @@ def test_slope_as_the_cells_do(plane):
         tiles.slope_percent(found, grid, 5, 16)
 
 
+def test_slope_beside_missing_tiles(spark):
+    """A tile that is not there gets the slopes that its neighbours' margins give it, with the fill value for its own heights."""
+    grid = GridSpec(96, 96, 25.0)
+    cells = [(35, 64, 50.0), (31, 95, 20.0)]
+    dense = spark.createDataFrame([(r, c, dict(((a, b), v) for a, b, v in cells).get((r, c), 0.0)) for r in range(96) for c in range(96)], "row int, col int, v double")
+    want = {(r.row, r.col): round(r.slope, 9) for r in raster.slope_percent(raster.block_mean(dense, 4, grid), 24, 24, 100.0).collect() if r.slope > 0}
+    own = tiles.from_cells(spark.createDataFrame(cells, "row int, col int, v double"), grid, 0.0, 32)
+    found, coarse, side = tiles.slope_percent(own, grid, 4, 32, 0.0)
+    assert {(r.row, r.col): round(r.v, 9) for r in tiles.to_cells(found, coarse, lambda v: v > 0, side).collect()} == want
+
+
 def test_blur_as_the_cells_do(spark):
     grid = GridSpec(150, 130, 25.0)
     cells = spark.createDataFrame([(0, 0), (64, 64), (129, 149), (63, 10)], "row int, col int")
