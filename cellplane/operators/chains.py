@@ -17,38 +17,43 @@ from cellplane.scratch import materialise
 _POINTS = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
 
 
-def _walked(lines: dict[int, list[dict]]) -> list[dict]:
-    """The lines of one chain, laid one behind the other from its end of least number; a closed chain begins with its least line."""
-    key = lambda p: (round(p["x"] * FINE), round(p["y"] * FINE))
+def _key(p: dict) -> tuple[int, int]:
+    return round(p["x"] * FINE), round(p["y"] * FINE)
+
+
+def _walked(lines: dict[int, list[dict]], joints: set[tuple[int, int]]) -> tuple[list[dict], bool]:
+    """The lines of one chain, laid one behind the other from its open end of least number, and whether it has none; such a chain begins with its least line."""
     at: dict[tuple, list[int]] = {}
     for i, pts in lines.items():
         for p in (pts[0], pts[-1]):
-            at.setdefault(key(p), []).append(i)
-    # An end is open unless two different lines of the chain meet there; a point where others end too has more.
-    open_ = lambda p: len(set(at[key(p)])) != 2 or len(at[key(p)]) != 2
-    ends = sorted((i, side) for i, pts in lines.items() for side, p in enumerate((pts[0], pts[-1])) if open_(p))
+            at.setdefault(_key(p), []).append(i)
+    ends = sorted((i, side) for i, pts in lines.items() for side, p in enumerate((pts[0], pts[-1])) if _key(p) not in joints)
     i, side = ends[0] if ends else (min(lines), 0)
     out, seen = list(lines[i] if side == 0 else lines[i][::-1]), {i}
     while len(seen) < len(lines):
-        i = next(j for j in at[key(out[-1])] if j not in seen)
+        i = next(j for j in at[_key(out[-1])] if j not in seen)
         seen.add(i)
-        pts = lines[i] if key(lines[i][0]) == key(out[-1]) else lines[i][::-1]
+        pts = lines[i] if _key(lines[i][0]) == _key(out[-1]) else lines[i][::-1]
         out += pts[1:]
-    return out
+    return out, not ends
 
 
 def merged(lines: DataFrame) -> DataFrame:
-    """(chain, n_lines, points) of lines (id, points), ids being different whole numbers: chain is the least id of the lines that are joined. Lines of fewer than two points have no part."""
+    """(chain, n_lines, points, endless) of lines (id, points), ids being different whole numbers: chain is the least id of the lines that are joined. Lines of fewer
+    than two points have no part. A chain that closes where other lines end too begins and ends there; endless are closed chains that meet no other line."""
     own = materialise(lines.filter(F.size("points") > 1).select(F.col("id").cast("long").alias("id"), "points"), "lines")
     spot = lambda p: F.struct(F.round(p["x"] * FINE).cast("long").alias("x"), F.round(p["y"] * FINE).cast("long").alias("y"))
     ends = own.select("id", F.explode(F.array(spot(F.get("points", 0)), spot(F.get("points", F.size("points") - 1)))).alias("at"))
-    links = ends.groupBy("at").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("n = 2 and a <> b").select("a", "b")
-    links = materialise(links.distinct(), "line-links")
-    of = least_labels(links, lambda df: materialise(df, "line-rounds"))
-    chained = own.join(of.select(F.col("v").alias("id"), "label"), "id", "left").select(F.coalesce("label", "id").alias("chain"), "id", "points")
+    links = ends.groupBy("at").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("n = 2 and a <> b").select("a", "b", "at")
+    links = materialise(links, "line-links")
+    of = least_labels(links.select("a", "b"), lambda df: materialise(df, "line-rounds"))
+    joints = links.groupBy(F.col("a").alias("id")).agg(F.collect_list("at").alias("joints"))  # a line has two ends, so two at most
+    chained = own.join(of.select(F.col("v").alias("id"), "label"), "id", "left").join(joints, "id", "left")
+    chained = chained.select(F.coalesce("label", "id").alias("chain"), "id", "points", "joints")
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
-        points = _walked(dict(zip(t.column("id").to_pylist(), t.column("points").to_pylist(), strict=True)))
-        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([t.num_rows], pa.int64()), pa.array([points], _POINTS)], names=["chain", "n_lines", "points"])
+        spots = {(p["x"], p["y"]) for some in t.column("joints").to_pylist() for p in some or []}
+        points, endless = _walked(dict(zip(t.column("id").to_pylist(), t.column("points").to_pylist(), strict=True)), spots)
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([t.num_rows], pa.int64()), pa.array([points], _POINTS), pa.array([endless])], names=["chain", "n_lines", "points", "endless"])
 
-    return chained.groupBy("chain").applyInArrow(run, f"chain long, n_lines long, points {POINTS}")
+    return chained.groupBy("chain").applyInArrow(run, f"chain long, n_lines long, points {POINTS}, endless boolean")

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from cellplane.operators import labels, overlay, rings, spatial
+from cellplane.operators import coverage, labels, overlay, rings, spatial
 from cellplane.plans.cell_queries import _HULLS, closing_hulls
 from cellplane.plans.join_queries import boxes, boxes_sql
 from cellplane.plans.placed import GRID, components_sql, read
@@ -153,7 +153,38 @@ _ROUND = 0.5 * 4 * QUARTER * METRES**2 * math.sin(2 * math.pi / (4 * QUARTER))
 _BUFFERED = f"""WITH {_BRANDED} SELECT 'polygon' AS kind, g AS brand, round(sum(w * h + {2 * METRES} * (w + h) + {_ROUND!r}::DOUBLE), 1) AS area_m2 FROM b GROUP BY g
  UNION ALL SELECT 'line', g, round(sum({2 * METRES} * sqrt(w * w + h * h) + {_ROUND!r}::DOUBLE), 1) FROM b GROUP BY g"""
 
+#: Cells of 100 m, a hundred to a row; the side to the next cell has a notch, p_size metres deep and 50 m wide, that both share.
+TOLERANCE, CELL, WIDE = 8.0, 100, 50
+
+
+def notched(s, d):
+    """(id, brand, rings) of a cell for each part; the side to the cell before has that one's notch, if there is such a cell."""
+    part = read(s, d, "part").select(F.col("p_partkey").cast("long").alias("id"), F.col("p_brand").alias("brand"), F.col("p_size").cast("double").alias("deep"))
+    before = part.select((F.col("id") + 1).alias("id"), F.col("deep").alias("before"))
+    x, y = F.col("id") % CELL * CELL, F.floor(F.col("id") / CELL) * CELL
+    own = part.join(before.filter(f"id % {CELL} > 0"), "id", "left")
+    point = lambda px, py: F.struct(px.cast("double").alias("x"), py.cast("double").alias("y"))
+    notch = lambda at, deep: F.array(*[point(at + deep * k, y + CELL / 2 + WIDE / 2 * j) for k, j in ((0, -1), (1, 0), (0, 1))])
+    right = F.concat(F.array(point(x, y), point(x + CELL, y)), notch(x + CELL, F.col("deep")), F.array(point(x + CELL, y + CELL), point(x, y + CELL)))
+    ring = F.concat(right, F.when(F.col("before").isNotNull(), F.reverse(notch(x, F.col("before")))).otherwise(F.array().cast(rings.POINTS)))
+    return own.select("id", "brand", F.array(ring).alias("rings"))
+
+
+def simplified_coverage(s, d):
+    """Notched cells simplified by 8 m, neighbours staying joined: cells, corners and area of each brand."""
+    own = notched(s, d)
+    found = coverage.simplified(own, TOLERANCE).join(own.select("id", "brand"), "id")
+    return found.groupBy("brand").agg(F.count("*").alias("cells"), F.sum(F.size(F.get("rings", 0))).cast("long").alias("corners"), F.round(F.sum("area"), 3).alias("area_m2"))
+
+
+#: A notch no deeper than the tolerance goes. Of others the tip stays, and the foot where it is farther than the tolerance from the line between tip and cell corner.
+_SIMPLIFIED = f"""WITH n AS (SELECT p_partkey AS id, p_brand AS brand, CASE WHEN p_size <= {TOLERANCE} THEN 0 WHEN p_size * {(CELL - WIDE) / 2} / sqrt(p_size * p_size + {CELL**2 / 4}) <= {TOLERANCE} THEN 1 ELSE 3 END AS k, p_size AS deep FROM part),
+ m AS (SELECT id, brand, k, CASE k WHEN 0 THEN 0 WHEN 1 THEN {CELL / 2} ELSE {WIDE / 2} END * deep AS area FROM n)
+ SELECT a.brand, count(*) AS cells, sum(4 + a.k + coalesce(b.k, 0))::BIGINT AS corners, round(sum({CELL**2} + a.area - coalesce(b.area, 0))::DOUBLE, 3) AS area_m2
+ FROM m a LEFT JOIN m b ON b.id = a.id - 1 AND a.id % {CELL} > 0 GROUP BY a.brand"""
+
 QUERIES = {
+    "simplified_coverage": (simplified_coverage, _SIMPLIFIED),
     "union_measures": (union_measures, f"WITH {_BRANDED}, {slabs_sql('b')} SELECT g AS brand, round(area, 3) AS area_m2, round(perimeter, 3) AS perimeter_m FROM union_m"),
     "union_outlines": (union_outlines, _OUTLINES),
     "hull_outlines": (hull_outlines, _HULL_OUTLINES),
