@@ -5,6 +5,8 @@ and a suffix leaves the sort as soon as it stands alone. The ranks of each round
 the greater of a suffix's two is its longest repeat: the intervals of equal prefixes are the maximal repeated substrings. Those of
 `shortest` words or more are united; a document fails if they cover more than `covered` of its words or one is longer than `longest`.
 
+A level of the sort keeps only the suffixes that do not stand alone yet, at eight bytes each.
+
 Beside them stand base counts: words, code points in words, symbols, repeated lines, words in repeated three-word windows.
 
 Defined results: null texts have no words; a document of fewer than 50 words fails. Rows repeat as they do in the input. Documents
@@ -48,41 +50,50 @@ def longest_repeats(codes: np.ndarray, end: np.ndarray) -> np.ndarray:
     n = len(codes)
     if not n:
         return np.empty(0, dtype=np.int64)
-    at = np.arange(n)
-    ranks, step = [dense(codes)], 1
+    rank, step, levels = dense(codes).astype(np.int32), 1, []  # positions of a block are fewer than 2^31: it has fewer bytes
     while True:
-        rank = ranks[-1]
         size = np.bincount(rank, minlength=n)
-        active = np.flatnonzero(size[rank] > 1)
+        active = np.flatnonzero(size[rank] > 1).astype(np.int32)
+        del size
         if not len(active):
             break
-        after = active + step
-        inside = after < end[active]
-        second = np.where(inside, rank[np.minimum(after, n - 1)] + 1, -end[active] + active)  # a shorter suffix equals no other
         first = rank[active]
-        order = np.lexsort((second, first))
-        f, s = first[order], second[order]
-        head = np.ones(len(f), dtype=bool)
+        levels.append((active, first))  # other positions stand alone, so they equal none at this level
+        after = active.astype(np.int64) + step
+        inside = after < end[active]
+        key = np.where(inside, rank[np.minimum(after, n - 1)] + 1, active - end[active])  # a shorter suffix equals no other
+        del after, inside
+        key += n
+        key += first.astype(np.int64) * (2 * n + 2)
+        order = np.argsort(key)
+        key, f = key[order], first[order]
+        head, new = (np.ones(len(f), dtype=bool) for _ in range(2))
         head[1:] = f[1:] != f[:-1]
-        new = head.copy()
-        new[1:] |= s[1:] != s[:-1]
-        place = np.arange(len(f))
-        begin = np.maximum.accumulate(np.where(head, place, 0))
+        new[1:] = key[1:] != key[:-1]
+        del key
+        place = np.arange(len(f), dtype=np.int32)
+        f += np.maximum.accumulate(np.where(new, place, np.int32(0)))
+        f -= np.maximum.accumulate(np.where(head, place, np.int32(0)))
         rank = rank.copy()
-        rank[active[order]] = f + np.maximum.accumulate(np.where(new, place, 0)) - begin
-        ranks.append(rank)
+        rank[active[order]] = f
+        del order, place, head, new, f
         step *= 2
-    order = np.empty(n, dtype=np.int64)
-    order[ranks[-1]] = at
+    order = np.empty(n, dtype=np.int32)
+    order[rank] = np.arange(n, dtype=np.int32)
     a, b = order[:-1], order[1:]
-    common = np.zeros(n - 1, dtype=np.int64)
+    common = np.zeros(n - 1, dtype=np.int32)
     live = np.flatnonzero(codes[a] == codes[b])
-    x, y, got = a[live].copy(), b[live].copy(), np.zeros(len(live), dtype=np.int64)
-    for i in range(len(ranks) - 1, -1, -1):
-        ok = (x < end[a[live]]) & (y < end[b[live]])
-        ok &= ranks[i][np.minimum(x, n - 1)] == ranks[i][np.minimum(y, n - 1)]
-        got += ok << i
-        x, y = x + (ok << i), y + (ok << i)
+    x, y = a[live], b[live]  # copies; ends of the texts do not change along a walk
+    stop_x, stop_y, got = end[x], end[y], np.zeros(len(live), dtype=np.int32)
+    while levels:
+        active, first = levels.pop()
+        rank[active] = first  # the ranks of this level; those of positions alone differ from all
+        ok = (x < stop_x) & (y < stop_y)
+        ok &= rank[np.minimum(x, n - 1)] == rank[np.minimum(y, n - 1)]
+        more = ok.astype(np.int32) << np.int32(len(levels))
+        got += more
+        x += more
+        y += more
     common[live] = got
     out = np.zeros(n, dtype=np.int64)
     out[a] = common
@@ -108,7 +119,7 @@ def measured(texts: list[bytes], shortest: int) -> list[np.ndarray]:
     start = np.flatnonzero(edge == -1)
     stop = np.flatnonzero(edge == 1)  # the closing line feed is a gap
     doc = np.searchsorted(begin, start, side="right") - 1
-    of = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[begin])
+    of = lambda mask: np.add.reduceat(mask, begin[:-1], dtype=np.int64) if d else np.zeros(0, dtype=np.int64)
     n_words = np.bincount(doc, minlength=d)
     chars, symbols = of(~gap & ((data & 0xC0) != 0x80)), of(_SYMBOL[data])
     spans = Spans(data, 12)
@@ -122,13 +133,14 @@ def measured(texts: list[bytes], shortest: int) -> list[np.ndarray]:
     same = np.flatnonzero((line[order][1:] == line[order][:-1]) & (line_doc[order][1:] == line_doc[order][:-1]))
     dup_lines = np.bincount(line_doc[order][same + 1], minlength=d)
     word = mix(spans.of(start, stop) + (stop - start).astype(np.uint64))
+    n = len(word)
     codes = dense(doc, word)
+    del spans, data, gap, edge, start, stop, word, line_start, line_end, worded, line  # the sort needs the room
     end = np.cumsum(n_words)[doc] if len(doc) else doc
     repeat = longest_repeats(codes, end)
     # A three-word window found twice is a repeat of three words or more.
     tri = np.flatnonzero(repeat >= 3)
     per = lambda mask: np.bincount(doc[mask], minlength=d)
-    n = len(word)
     thrice = per(covered_by(tri, np.full(len(tri), 3), n))
     long = np.flatnonzero(repeat >= shortest)
     covered = per(covered_by(long, repeat[long], n))

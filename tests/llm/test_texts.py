@@ -216,3 +216,24 @@ def test_sharding(spark, docs, rows, empty):
     pages = sharding.extendible_shards(same, "k", F.col("b"), 1000).collect()
     assert Counter((r.k, r.page) for r in pages if r.k == 7) == {(7, p): 2 for p in range(1, 6)}
     assert sharding.extendible_shards(empty, "doc_id", F.octet_length("text"), limit).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_longest_repeats_of_periodic_texts(seed):
+    """Several texts at once, with few words, long periods and whole copies: each position's longest run that its own text has elsewhere."""
+    rng = np.random.default_rng(seed)
+    texts = [list(rng.integers(0, 3, int(rng.integers(0, 40)))) for _ in range(4)] + [[0] * 33, [0, 1, 2] * 11, []]
+    texts.append(texts[0] + texts[0])
+    codes = np.array([1000 * d + w for d, t in enumerate(texts) for w in t], dtype=np.int64)
+    end = np.repeat(np.cumsum([len(t) for t in texts]), [len(t) for t in texts])
+    want = []
+    for t in texts:
+        for i in range(len(t)):
+            best = 0
+            for j in range(len(t)):
+                k = 0
+                while j != i and i + k < len(t) and j + k < len(t) and t[i + k] == t[j + k]:
+                    k += 1
+                best = max(best, k)
+            want.append(best)
+    assert quality_rules.longest_repeats(codes, end).tolist() == want
