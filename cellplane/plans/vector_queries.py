@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from cellplane.operators import coverage, labels, overlay, rings, spatial
+from cellplane.plans import zone_layers
 from cellplane.plans.cell_queries import _HULLS, closing_hulls
 from cellplane.plans.join_queries import boxes, boxes_sql
 from cellplane.plans.placed import GRID, components_sql, read
@@ -183,7 +184,23 @@ _SIMPLIFIED = f"""WITH n AS (SELECT p_partkey AS id, p_brand AS brand, CASE WHEN
  SELECT a.brand, count(*) AS cells, sum(4 + a.k + coalesce(b.k, 0))::BIGINT AS corners, round(sum({CELL**2} + a.area - coalesce(b.area, 0))::DOUBLE, 3) AS area_m2
  FROM m a LEFT JOIN m b ON b.id = a.id - 1 AND a.id % {CELL} > 0 GROUP BY a.brand"""
 
+#: Left border of the region that zones are cut to.
+EDGE = 250
+
+
+def zone_export(s, d):
+    """Rows of notched cells, dissolved, cut to what lies right of a line, and simplified: corners and area of each row."""
+    own = notched(s, d).withColumn("zone", F.floor(F.col("id") / CELL).cast("long"))
+    region = s.range(1).select(spatial.rectangle(F.lit(float(EDGE)), F.lit(-10.0), F.lit(1e5), F.lit(1e7)).alias("rings"))
+    found = zone_layers.prepared(own, region, "zone", TOLERANCE)
+    return found.select("zone", F.size(F.get("rings", 0)).cast("long").alias("corners"), F.round("area_m2", 3).alias("area_m2"))
+
+
+_ZONE_EXPORT = f"""{_SIMPLIFIED.split(' SELECT a.brand')[0]}, r AS (SELECT id // {CELL} AS zone, max(id % {CELL}) AS last, max_by(k, id) AS k, max_by(area, id) AS area, greatest(min(id % {CELL}) * {CELL}, {EDGE}) AS x0 FROM m GROUP BY 1)
+ SELECT zone::BIGINT AS zone, (4 + k)::BIGINT AS corners, round((((last + 1) * {CELL} - x0) * {CELL} + area)::DOUBLE, 3) AS area_m2 FROM r WHERE (last + 1) * {CELL} > x0"""
+
 QUERIES = {
+    "zone_export": (zone_export, _ZONE_EXPORT),
     "simplified_coverage": (simplified_coverage, _SIMPLIFIED),
     "union_measures": (union_measures, f"WITH {_BRANDED}, {slabs_sql('b')} SELECT g AS brand, round(area, 3) AS area_m2, round(perimeter, 3) AS perimeter_m FROM union_m"),
     "union_outlines": (union_outlines, _OUTLINES),
