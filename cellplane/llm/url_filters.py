@@ -26,6 +26,8 @@ from .common import materialise, own_name, partitions, table
 #: Stated rules: (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 BAD = "class=bad"
+#: Repeats of a row that come back at once.
+LOT = 1 << 14
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -103,7 +105,10 @@ def judge(pages: DataFrame, key: str, url: str, labelled: DataFrame, rules=RULES
     rule, verdict = stated(host_of(F.col("u")), path_of(F.col("u")), rules)
     final = F.coalesce(verdict, F.when(F.col("mined_rule").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
     out = out.select(F.col("k").alias(own_name(key, ["host", "path", "rule", "verdict", "mined_rule", "confidence"])), host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"), rule.alias("rule"), final.alias("verdict"), "mined_rule", "confidence", "times")
-    return out.withColumn("__t", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("__t", "times")
+    # A row that repeats often comes back in lots, so that no array grows with its repeats.
+    lots = out.withColumn("__lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / LOT))))
+    size = F.least(F.lit(LOT).cast("long"), F.col("times") - F.col("__lot") * LOT)
+    return lots.withColumn("__t", F.explode(F.sequence(F.lit(1).cast("long"), size))).drop("__t", "__lot", "times")
 
 
 def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:

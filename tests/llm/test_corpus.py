@@ -134,6 +134,15 @@ def test_url_rules(spark):
     assert {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in out} == {(i, *u[1:]) for i, u in enumerate(URLS)}
 
 
+@pytest.mark.parametrize("times", [1, url_filters.LOT, url_filters.LOT + 1, 5 * url_filters.LOT - 3])
+def test_a_url_repeated_often(spark, times):
+    """One row repeated beside one that is not: every repeat comes back."""
+    pages = spark.range(times).select(F.lit(7).cast("long").alias("page_id"), F.lit("http://a.net/x").alias("url")).unionByName(spark.createDataFrame([(8, "http://b.fr/")], "page_id long, url string"))
+    none = spark.createDataFrame([], "url string, bad boolean")
+    out = url_filters.judge(pages, "page_id", "url", none).groupBy("page_id", "host", "path", "rule", "verdict").count().collect()
+    assert {tuple(r) for r in out} == {(7, "a.net", "/x", "net/", "block", times), (8, "b.fr", "/", None, "allow", 1)}
+
+
 def test_url_mining(spark):
     rows = [(f"http://{'spam' if i % 2 else 'ham'}.example.com/{'ads' if i % 4 == 1 else 'news'}/{i}", i % 4 == 1) for i in range(200)]
     labelled = spark.createDataFrame(rows, "url string, bad boolean")
