@@ -36,3 +36,28 @@ def test_covers_of_boxes_and_other_shapes(spark):
     p, a = spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(shapes, SHAPES)
     pairs = {(i, k) for i, x, y in points for k, r in shapes if r and inside(x, y, r)}
     assert {tuple(r) for r in spatial.covering(p, a, 16.0).collect()} == pairs
+    area = {r.poly: r.area for r in a.select("poly", spatial.area(F.col("rings")).alias("area")).collect()}
+    least = {i: min((area[k], k) for j, k in pairs if j == i) for i in {j for j, _ in pairs}}
+    assert {(r.id, r.area, r.poly) for r in spatial.smallest_cover(p, a, 16.0).collect()} == {(i, *b) for i, b in least.items()}
+
+
+def joined_rows(spark, df):
+    """df's rows, and the rows that its joins gave in all."""
+    plan = df._jdf.queryExecution().executedPlan()
+    rows = df.collect()
+
+    def total(node):
+        node = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan() if "QueryStage" in node.nodeName() else node
+        own = node.metrics().get("numOutputRows").get().value() if "Join" in node.nodeName() else 0
+        return own + sum(total(node.children().apply(i)) for i in range(node.children().size()))
+
+    return rows, total(plan)
+
+
+def test_smallest_cover_makes_few_pairs(spark):
+    """2,000 points under 2,000 boxes each: four million pairs."""
+    p = spark.range(2000).selectExpr("id", "100 + id % 50 + 0.25 as x", "100 + id / 50 + 0.25 as y")
+    a = spark.range(2000).select(F.col("id").alias("poly"), spatial.rectangle(-F.col("id") / 40, -F.col("id") / 40, F.lit(300) + F.col("id") / 40, F.lit(300) + F.col("id") / 40).alias("rings"))
+    rows, n = joined_rows(spark, spatial.smallest_cover(p, a, 64.0))
+    assert len(rows) == 2000 and {r.poly for r in rows} == {0}
+    assert n < 400_000
