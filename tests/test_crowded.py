@@ -36,6 +36,7 @@ def test_covers_of_boxes_and_other_shapes(spark):
     p, a = spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(shapes, SHAPES)
     pairs = {(i, k) for i, x, y in points for k, r in shapes if r and inside(x, y, r)}
     assert {tuple(r) for r in spatial.covering(p, a, 16.0).collect()} == pairs
+    assert {r.poly for r in spatial.holding(p, a, 16.0).collect()} == {k for _, k in pairs}
     area = {r.poly: r.area for r in a.select("poly", spatial.area(F.col("rings")).alias("area")).collect()}
     least = {i: min((area[k], k) for j, k in pairs if j == i) for i in {j for j, _ in pairs}}
     assert {(r.id, r.area, r.poly) for r in spatial.smallest_cover(p, a, 16.0).collect()} == {(i, *b) for i, b in least.items()}
