@@ -62,3 +62,16 @@ def test_smallest_cover_makes_few_pairs(spark):
     rows, n = joined_rows(spark, spatial.smallest_cover(p, a, 64.0))
     assert len(rows) == 2000 and {r.poly for r in rows} == {0}
     assert n < 400_000
+
+
+def test_nearest_of_crowded_points_makes_few_pairs(spark):
+    """2,500 points beside as many within the radius: over six million pairs."""
+    p = spark.range(2500).selectExpr("id", "id % 50 + 0.25 as x", "id div 50 + 0.5 as y")
+    q = spark.range(5000).selectExpr("id", "id % 2500 % 50 + 0.0 as x", "id % 2500 div 50 + 0.0 as y")
+    far = spark.createDataFrame([(9000, 120.0, 49.0), (9001, 150.0, 49.0)], "id long, x double, y double")
+    rows, n = joined_rows(spark, spatial.nearest_within(p.union(far), q, 100.0))
+    found = {r.id: r.nearest for r in rows}
+    assert all(found[i] == i for i in range(2500)) and found[9000] == 2499 and found[9001] is None
+    assert n < 1_000_000
+    near = {r.id for r in spatial.any_within(p.union(far), q, 100.0).collect()}
+    assert near == {*range(2500), 9000}
