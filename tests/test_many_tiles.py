@@ -31,3 +31,14 @@ def test_areas_by_depth(spark, side):
     df = spark.createDataFrame([(g, [ring(*b)]) for g, some in made.items() for b in some], SHAPES)
     got = {(r.g, r.depth): round(r.area, 6) for r in overlay.depths(df, "g", side).collect()}
     assert got == {(g, int(k)): float(n) for g, some in made.items() for k, n in zip(*np.unique(cells(some), return_counts=True), strict=True) if k}
+
+
+@pytest.mark.parametrize("side", [None, 9.0])
+def test_number_of_faces(spark, side):
+    """Faces are counted as they are when each is made: crowded boxes, islands in them, parts apart, lines that lead nowhere."""
+    apart = [(100, 100, 110, 110), (102, 102, 104, 104), (200, 0, 201, 1)]
+    lines = {1: [ring(*b) for b in crowd(60) + apart], 2: [ring(*b) for b in apart], 3: [ring(0, 0, 9, 9)[:2]]}
+    closed = {g: [r + r[:1] if len(r) > 2 else r for r in some] for g, some in lines.items()}
+    df = spark.createDataFrame([(g, [r]) for g, some in closed.items() for r in some], SHAPES)
+    one_by_one = {r.g: r.n for r in rings.faces(df, "g", side).groupBy("g").agg(F.count("*").alias("n")).collect()}
+    assert {r.g: r.faces for r in overlay.face_counts(df, "g", side).collect() if r.faces} == one_by_one and one_by_one[2] == 3
