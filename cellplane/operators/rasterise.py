@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellplane.functions.grid import GridSpec
-from cellplane.operators import runs
+from cellplane.operators import runs, spatial
 
 OUT = pa.schema([("id", pa.int64()), ("row", pa.int32()), ("c0", pa.int32()), ("c1", pa.int32())])
 
@@ -77,7 +77,21 @@ def _burn(grid: GridSpec, all_touched: bool):
 
 def shape_runs(shapes: DataFrame, grid: GridSpec, all_touched: bool = True) -> DataFrame:
     """(id, kind, rings) to overlapping runs (id, row, c0, c1), not clipped. kind: polygon, line or point."""
-    return shapes.select(F.col("id").cast("long").alias("id"), "kind", "rings").mapInArrow(_burn(grid, all_touched), "id long, row int, c0 int, c1 int")
+    own = spatial.dealt(shapes.select(F.col("id").cast("long").alias("id"), "kind", "rings"))
+    box = F.coalesce((F.col("kind") == "polygon") & spatial._is_box(F.col("rings")), F.lit(False))
+    other = own.filter(~box).mapInArrow(_burn(grid, all_touched), "id long, row int, c0 int, c1 int")
+    return _box_runs(own.filter(box), grid, all_touched).unionByName(other)
+
+
+def _box_runs(boxes: DataFrame, grid: GridSpec, all_touched: bool) -> DataFrame:
+    """shape_runs of boxes: what the outline crosses and what lies inside make one run in each row."""
+    own = boxes.select("id", spatial.bounds(F.col("rings")).alias("b"))
+    places = {"l": F.col("b.minx") - grid.x0, "r": F.col("b.maxx") - grid.x0, "t": grid.y_top - F.col("b.maxy"), "u": grid.y_top - F.col("b.miny")}
+    own = own.select("id", *[(v / grid.cell_m).alias(k) for k, v in places.items()])
+    first = (lambda c: F.floor(c)) if all_touched else (lambda c: F.ceil(F.col(c) - 0.5))
+    last = (lambda c: F.floor(c)) if all_touched else (lambda c: F.ceil(F.col(c) - 0.5) - 1)
+    own = own.select("id", *[f.cast("int").alias(n) for n, f in (("r0", first("t")), ("r1", last("u")), ("c0", first("l")), ("c1", last("r")))]).filter("r0 <= r1 and c0 <= c1")
+    return own.select("id", F.explode(F.sequence("r0", "r1")).alias("row"), "c0", "c1")
 
 
 def burnt(shapes: DataFrame, grid: GridSpec, buffer_m: float = 0.0, all_touched: bool = True) -> DataFrame:
@@ -89,6 +103,10 @@ def burnt(shapes: DataFrame, grid: GridSpec, buffer_m: float = 0.0, all_touched:
 
 def coded(shapes: DataFrame, grid: GridSpec, order: str, code: str) -> DataFrame:
     """(row, col, code) of the shape that paints a cell last, by centre. order: a column, greatest last."""
-    cells = shape_runs(shapes, grid, False)
-    cells = cells.filter((F.col("row") >= 0) & (F.col("row") < grid.height) & (F.col("c1") >= 0) & (F.col("c0") < grid.width)).select("id", "row", F.explode(F.sequence(F.greatest("c0", F.lit(0)), F.least("c1", F.lit(grid.width - 1)))).alias("col"))
-    return cells.join(shapes.select(F.col("id").cast("long").alias("id"), order, code), "id").groupBy("row", "col").agg(F.max_by(code, F.struct(order, "id")).alias(code))
+    found = shape_runs(shapes, grid, False)
+    found = found.filter((F.col("row") >= 0) & (F.col("row") < grid.height) & (F.col("c1") >= 0) & (F.col("c0") < grid.width))
+    found = found.select("id", "row", F.greatest("c0", F.lit(0)).alias("c0"), F.least("c1", F.lit(grid.width - 1)).alias("c1"))
+    # The last of equal runs goes on, so that no more than the grid's runs are taken apart into cells.
+    last = found.join(shapes.select(F.col("id").cast("long").alias("id"), order, code), "id").groupBy("row", "c0", "c1").agg(F.max(F.struct(order, "id", code)).alias("__s"))
+    cells = last.select("row", F.explode(F.sequence("c0", "c1")).alias("col"), "__s")
+    return cells.groupBy("row", "col").agg(F.max("__s").alias("__s")).select("row", "col", F.col(f"__s.{code}").alias(code))
