@@ -27,7 +27,7 @@ def sweep(masks: dict[str, DataFrame], condition: Callable[[dict[str, Column]],
     for name in names:
         one = _events(masks[name], name, names)
         events = one if events is None else events.unionByName(one)
-    events = events.repartition("row").groupBy("row", "at").agg(*[F.sum(n).alias(n) for n in names])
+    events = events.groupBy("row", "at").agg(*[F.sum(n).alias(n) for n in names])
     along = Window.partitionBy("row").orderBy("at")
     upto = along.rowsBetween(Window.unboundedPreceding, 0)
     on = condition({n: F.sum(n).over(upto) > 0 for n in names})
@@ -43,7 +43,7 @@ def coincident(masks: dict[str, DataFrame]) -> DataFrame:
     for name in names:
         one = _events(masks[name], name, names)
         events = one if events is None else events.unionByName(one)
-    events = events.repartition("row").groupBy("row", "at").agg(*[F.sum(n).alias(n) for n in names])
+    events = events.groupBy("row", "at").agg(*[F.sum(n).alias(n) for n in names])
     along = Window.partitionBy("row").orderBy("at")
     upto = along.rowsBetween(Window.unboundedPreceding, 0)
     out = events.select("row", (F.lead("at").over(along) - F.col("at")).alias("width"), *[(F.sum(n).over(upto) > 0).alias(n) for n in names])
@@ -141,6 +141,14 @@ def n_cells(runs: DataFrame) -> Column:
     return F.sum(F.col("c1") - F.col("c0") + 1).cast("long")
 
 
+def odd(mask: DataFrame) -> DataFrame:
+    """Runs of the cells that an odd number of runs (row, c0, c1) cover: of the ends, those that occur an odd number of times are starts and stops in turn."""
+    ends = mask.select("row", F.explode(F.array(F.col("c0"), F.col("c1") + 1)).alias("at")).groupBy("row", "at").agg((F.count("*") % 2).alias("n")).filter("n = 1")
+    along = Window.partitionBy("row").orderBy("at")
+    runs = ends.select("row", F.col("at").alias("c0"), (F.lead("at").over(along) - 1).alias("c1"), (F.row_number().over(along) % 2).alias("first"))
+    return runs.filter("first = 1").select("row", F.col("c0").cast("int").alias("c0"), F.col("c1").cast("int").alias("c1"))
+
+
 def parity(rings: DataFrame, by: list[str]) -> DataFrame:
     """Cells (by, row, col) that occur an odd number of times: the even-odd rule over filled rings."""
     return rings.groupBy(*by, "row", "col").agg((F.count("*") % 2).alias("odd")).filter("odd = 1").drop("odd")

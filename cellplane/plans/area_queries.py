@@ -167,9 +167,7 @@ def odd_cells(s, d):
     """Cells that an odd number of boxes covers."""
     from cellplane.operators import rasterise
 
-    cells = rasterise.shape_runs(shapes(s, d), GRID, False)
-    cells = cells.filter("row between 0 and 255 and c1 >= 0 and c0 < 256").select("row", F.explode(F.sequence(F.greatest("c0", F.lit(0)), F.least("c1", F.lit(255)))).alias("col"))
-    return runs.parity(cells, [])
+    return runs.to_cells(runs.odd(runs.clip(rasterise.shape_runs(shapes(s, d), GRID, False), GRID)))
 
 
 def caveats(s, d):
