@@ -46,6 +46,7 @@ def coverage(shapes: DataFrame, grid: GridSpec) -> DataFrame:
     differ from the shapes' by the length of their common outline times a cell's side. Union and outline are those of the polygons united.
     """
     cell = grid.cell_m**2
+    shapes = materialise(spatial.dealt(shapes.select("id", "kind", "rings")), "cover-shapes")
     touched = materialise(rasterise.burnt(shapes, grid), "cover-touched")
     centre = materialise(rasterise.burnt(shapes, grid, all_touched=False), "cover-centre")
     halo = materialise(runs.and_not(touched, centre), "cover-halo")

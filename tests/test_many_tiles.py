@@ -42,3 +42,21 @@ def test_number_of_faces(spark, side):
     df = spark.createDataFrame([(g, [r]) for g, some in closed.items() for r in some], SHAPES)
     one_by_one = {r.g: r.n for r in rings.faces(df, "g", side).groupBy("g").agg(F.count("*").alias("n")).collect()}
     assert {r.g: r.faces for r in overlay.face_counts(df, "g", side).collect() if r.faces} == one_by_one and one_by_one[2] == 3
+
+
+def test_union_of_a_crowd(spark):
+    made = crowd(400)
+    df = spark.createDataFrame([(1, [ring(*b)]) for b in made], SHAPES)
+    got = overlay.measures(overlay.united(df, "g", 16.0), "g").first()
+    on = np.pad(cells(made) > 0, 1)
+    sides = sum(int((on[1:] != on[:-1]).sum()) if axis == 0 else int((on[:, 1:] != on[:, :-1]).sum()) for axis in (0, 1))
+    assert round(got.area, 6) == on.sum() and round(got.perimeter, 6) == sides
+
+
+def test_tiles_deep_inside_are_not_looked_at():
+    """Where winding numbers exceed the edges about, no edges are cut."""
+    x = np.linspace(1, 9, 500)
+    e = np.stack([x, np.full(500, -5.0), x, np.full(500, 15.0)], axis=1)
+    box, none = np.array([[0.0, 0.0, 10.0, 10.0]]), np.zeros(500, dtype=int)
+    leaves = lambda w, rule: list(overlay._quartered(e, none, none, box, np.array([[w]]), rule))
+    assert not leaves(1500, overlay.covered) and leaves(400, overlay.covered) and leaves(1500, None)
