@@ -60,3 +60,16 @@ def test_tiles_deep_inside_are_not_looked_at():
     box, none = np.array([[0.0, 0.0, 10.0, 10.0]]), np.zeros(500, dtype=int)
     leaves = lambda w, rule: list(overlay._quartered(e, none, none, box, np.array([[w]]), rule))
     assert not leaves(1500, overlay.covered) and leaves(400, overlay.covered) and leaves(1500, None)
+
+
+def test_shapes_widened_by_themselves(spark):
+    """Boxes and single steps alone in their group come out as if they were united with the capsules of their sides."""
+    line = [{"x": 3.0, "y": 4.0}, {"x": 60.0, "y": 31.0}]
+    rows = [(1, "polygon", [ring(0, 0, 50, 20)]), (2, "polygon", [ring(5, 5, 30, 90)[::-1]]), (3, "line", [line]), (4, "polygon", [ring(0, 0, 9, 9)]), (4, "line", [line]), (5, "polygon", [ring(1, 1, 1, 7)])]
+    df = spark.createDataFrame(rows, "g long, kind string, rings array<array<struct<x:double,y:double>>>")
+    pieces = overlay.buffered(df, "g", 30.0, 8, 4096.0)
+    got = {r.g: (r.area, r.perimeter) for r in overlay.measures(pieces, "g").collect()}
+    want = {r.g: (r.area, r.perimeter) for r in overlay.measures(overlay._widened(df.withColumn("__r", F.lit(30.0)), ["g"], 8, 4096.0), "g").collect()}
+    assert set(got) == set(want) == {1, 2, 3, 4, 5}
+    assert all(np.allclose(got[g], want[g], rtol=0, atol=1e-5) for g in got)
+    assert pieces.filter("g = 1").count() == 4 * 9
