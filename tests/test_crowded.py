@@ -84,3 +84,21 @@ def test_clusters_of_crowded_points(spark):
     found = {r.cluster: r.n for r in cluster.eps_components(p, 105.0).groupBy("cluster").agg(F.count("*").alias("n")).collect()}
     assert found == {0: 40_009, 60_000: 1}
     assert {r.core for r in cluster.dbscan(p, 105.0, 2).filter("id = 60000").collect()} == {False}
+
+
+def test_shapes_that_meet_some_other(spark):
+    rng = random.Random(8)
+
+    def some(n, first):
+        out = []
+        for i in range(n):
+            x, y, w, h = rng.randint(-40, 60), rng.randint(-40, 60), rng.randint(0, 30), rng.randint(0, 30)
+            box = [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+            out.append((first + i, rings_of([box, box[::-1], box[:3]][i % 3])))
+        return out
+
+    a, b = (spark.createDataFrame(some(n, k), SHAPES) for n, k in ((90, 0), (6, 500)))
+    b = b.union(b)
+    assert {r.poly for r in spatial.meeting(a, b, 16.0).collect()} == {r.poly for r in spatial.overlapping(a, b, 16.0).collect()}
+    crowd = spark.createDataFrame([(i, rings_of([(0, 0), (50, 0), (50, 50), (0, 50)])) for i in range(3000)], SHAPES)
+    assert spatial.meeting(crowd, crowd, 16.0).count() == 3000
