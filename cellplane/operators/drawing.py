@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 def pixels(points: Column, minx: float, maxy: float, metres: float) -> Column:
     """Points (x, y) as whole pixels (px, py), rounded half to even; a pixel that repeats the one before goes."""
     path = F.transform(points, lambda p: F.struct(F.rint((p["x"] - minx) / metres).cast("int").alias("px"), F.rint((maxy - p["y"]) / metres).cast("int").alias("py")))
-    # Neighbours are compared by place: repeats that are not neighbours stay.
-    return F.filter(path, lambda p, i: (i == 0) | (p != F.get(path, i - 1)))
+    # Neighbours are compared by place: repeats that are not neighbours stay. The path is bound by a name, else it would be made anew for each of its points.
+    return F.get(F.transform(F.array(path), lambda all_: F.filter(all_, lambda p, i: (i == 0) | (p != F.get(all_, i - 1)))), 0)
 
 
 def tile_jobs(files: DataFrame, x0: float, y0: float, side: float, halo: float, columns: int, rows: int) -> DataFrame:
