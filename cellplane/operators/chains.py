@@ -48,7 +48,7 @@ def merged(lines: DataFrame) -> DataFrame:
     links = materialise(links, "line-links")
     of = least_labels(links.select("a", "b"), lambda df: materialise(df, "line-rounds"))
     joints = links.groupBy(F.col("a").alias("id")).agg(F.collect_list("at").alias("joints"))  # a line has two ends, so two at most
-    chained = own.join(of.select(F.col("v").alias("id"), "label"), "id", "left").join(joints, "id", "left")
+    chained = own.join(of.select(F.col("v").alias("id"), "label").hint("merge"), "id", "left").join(joints.hint("merge"), "id", "left")
     chained = chained.select(F.coalesce("label", "id").alias("chain"), "id", "points", "joints")
 
     def run(key: tuple, t: pa.Table) -> pa.Table:

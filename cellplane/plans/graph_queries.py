@@ -51,7 +51,7 @@ def joined_lines(s, d):
     at = read(s, d, "customer").select(F.col("c_custkey").cast("long").alias("id"), F.struct((F.col("c_custkey") * 10.0).cast("double").alias("x"), ((F.col("c_custkey") * 577) % 6400).cast("double").alias("y")).alias("p"))
     last = (F.col("id") - 1) % SPAN == SPAN - 1
     to = at.select((F.col("id") - 1).alias("id"), F.col("p").alias("q"))
-    steps = at.join(to, "id", "left").filter(~last & F.col("q").isNotNull())
+    steps = at.join(to.hint("merge"), "id", "left").filter(~last & F.col("q").isNotNull())
     ways = steps.select("id", F.when(F.col("id") % 2 == 0, F.array("p", "q")).otherwise(F.array("q", "p")).alias("points"))
     return chains.merged(ways).select("chain", F.size("points").cast("long").alias("n_points"), F.round(spatial.length(F.col("points")), 3).alias("metres"))
 
