@@ -73,3 +73,20 @@ def test_shapes_widened_by_themselves(spark):
     assert set(got) == set(want) == {1, 2, 3, 4, 5}
     assert all(np.allclose(got[g], want[g], rtol=0, atol=1e-5) for g in got)
     assert pieces.filter("g = 1").count() == 4 * 9
+
+
+@pytest.mark.parametrize("rule", ["both", "only_first"])
+def test_rows_are_overlaid_by_themselves(spark, rule):
+    """Areas and perimeters of each row's own shapes are those of a group of its own: regions with holes, crowded rings, rings that close, shapes apart, nothing there."""
+    region = [ring(5, 5, 60, 60), ring(10, 10, 40, 30), ring(12, 12, 14, 14)]
+    star = [{"x": 30 + 25 * float(np.cos(2.4 * k)), "y": 30 + 25 * float(np.sin(2.4 * k))} for k in range(5)]
+    spike = [{"x": 20.0 + (k % 2) * 20, "y": 3.0 + k / 3} for k in range(90)] + [{"x": 18.0, "y": 33.0}]
+    a = [[ring(*b)] for b in crowd(20)] + [[star], [star + star[:1]], [spike], [ring(100, 100, 110, 110)], [ring(8, 8, 50, 50), ring(20, 20, 25, 25)], [ring(3, 3, 3, 9)], [], None]
+    df = spark.createDataFrame([(i, r, region[: 1 + i % 3]) for i, r in enumerate(a)] + [(90, [ring(6, 6, 9, 9)], None)], SHAPES + ", region array<array<struct<x:double,y:double>>>")
+    got = {r.g: (r.area, r.perimeter) for r in overlay.each_measured(df, "g", ["rings", "region"], getattr(overlay, rule)).collect()}
+    full = df.filter("rings is not null").select("g", "rings"), df.filter("region is not null").select("g", F.col("region").alias("rings"))
+    want = {r.g: (r.area, r.perimeter) for r in overlay.measures(overlay.combined(*full, "g", getattr(overlay, rule)), "g").collect()}
+    assert set(got) == set(want) and all(np.allclose(got[g], want[g], rtol=0, atol=1e-5) for g in got)
+    fixed = {r.g: (r.area, r.perimeter) for r in overlay.each_measured(df, "g", ["rings"], overlay.odd).collect()}
+    want = {r.g: (r.area, r.perimeter) for r in overlay.measures(overlay.repaired(full[0], "g"), "g").collect()}
+    assert set(fixed) == set(want) and all(np.allclose(fixed[g], want[g], rtol=0, atol=1e-5) for g in fixed)
