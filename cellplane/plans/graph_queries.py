@@ -39,8 +39,8 @@ def repaired(s, d):
     ring = F.get("rings", 0)
     own = branded(s, d).withColumns({"dx": (F.get(ring, 2)["x"] - F.get(ring, 0)["x"]) / 2, "dy": (F.get(ring, 2)["y"] - F.get(ring, 0)["y"]) / 2})
     own = own.select("id", "brand", F.array(ring, moved(ring)).alias("rings"))
-    found = overlay.measures(overlay.repaired(own.select("id", "rings"), "id", side=32768.0), "id")
-    return found.join(own.select("id", "brand"), "id").groupBy("brand").agg(F.round(F.sum("area"), 3).alias("area_m2"), F.round(F.sum("perimeter"), 3).alias("perimeter_m"))
+    found = overlay.each_measured(own, ["id", "brand"], ["rings"], overlay.odd)
+    return found.groupBy("brand").agg(F.round(F.sum("area"), 3).alias("area_m2"), F.round(F.sum("perimeter"), 3).alias("perimeter_m"))
 
 
 SPAN = 40
