@@ -6,35 +6,33 @@ lines of one component are laid one behind the other in one pass over them, so t
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellplane.operators.components import least_labels
+from cellplane.operators.grouped import array, coordinates, joined, worked
 from cellplane.operators.rings import FINE, POINTS
 from cellplane.scratch import materialise
 
-_POINTS = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
-
-
-def _key(p: dict) -> tuple[int, int]:
-    return round(p["x"] * FINE), round(p["y"] * FINE)
-
-
-def _walked(lines: dict[int, list[dict]], joints: set[tuple[int, int]]) -> tuple[list[dict], bool]:
-    """The lines of one chain, laid one behind the other from its open end of least number, and whether it has none; such a chain begins with its least line."""
+def _walked(first: dict[int, tuple], last: dict[int, tuple], joints: set[tuple]) -> tuple[list[tuple[int, bool]], bool]:
+    """The lines of one chain (where each begins and ends), one behind the other from the chain's open end of least number, each with whether it runs backwards; and whether the
+    chain has no open end: such a one begins with its least line."""
     at: dict[tuple, list[int]] = {}
-    for i, pts in lines.items():
-        for p in (pts[0], pts[-1]):
-            at.setdefault(_key(p), []).append(i)
-    ends = sorted((i, side) for i, pts in lines.items() for side, p in enumerate((pts[0], pts[-1])) if _key(p) not in joints)
-    i, side = ends[0] if ends else (min(lines), 0)
-    out, seen = list(lines[i] if side == 0 else lines[i][::-1]), {i}
-    while len(seen) < len(lines):
-        i = next(j for j in at[_key(out[-1])] if j not in seen)
+    for i in first:
+        for p in (first[i], last[i]):
+            at.setdefault(p, []).append(i)
+    ends = sorted((i, side) for i in first for side, p in enumerate((first[i], last[i])) if p not in joints)
+    i, side = ends[0] if ends else (min(first), 0)
+    out, seen, tip = [(i, side == 1)], {i}, last[i] if side == 0 else first[i]
+    while len(seen) < len(first):
+        i = next(j for j in at[tip] if j not in seen)
         seen.add(i)
-        pts = lines[i] if _key(lines[i][0]) == _key(out[-1]) else lines[i][::-1]
-        out += pts[1:]
+        out.append((i, first[i] != tip))
+        tip = last[i] if first[i] == tip else first[i]
     return out, not ends
 
 
@@ -51,9 +49,23 @@ def merged(lines: DataFrame) -> DataFrame:
     chained = own.join(of.select(F.col("v").alias("id"), "label").hint("merge"), "id", "left").join(joints.hint("merge"), "id", "left")
     chained = chained.select(F.coalesce("label", "id").alias("chain"), "id", "points", "joints")
 
-    def run(key: tuple, t: pa.Table) -> pa.Table:
-        spots = {(p["x"], p["y"]) for some in t.column("joints").to_pylist() for p in some or []}
-        points, endless = _walked(dict(zip(t.column("id").to_pylist(), t.column("points").to_pylist(), strict=True)), spots)
-        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([t.num_rows], pa.int64()), pa.array([points], _POINTS), pa.array([endless])], names=["chain", "n_lines", "points", "endless"])
+    def run(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Many chains at once."""
+        xy, begin = coordinates(array(t.column("points")))
+        spots = np.round(xy * FINE).astype(np.int64)
+        first, last = ([tuple(p) for p in spots[at].tolist()] for at in (begin[:-1], begin[1:] - 1))
+        ids, joints = t.column("id").to_pylist(), t.column("joints").to_pylist()
+        parts, many, endless = [], np.diff(np.append(starts, t.num_rows)), []
+        for g, n in zip(starts.tolist(), many.tolist(), strict=True):
+            rows = range(g, g + n)
+            row = {ids[r]: r for r in rows}
+            way, open_ = [(ids[g], False)], False
+            if n > 1 or joints[g]:
+                met = {(p["x"], p["y"]) for r in rows for p in joints[r] or []}
+                way, open_ = _walked({ids[r]: first[r] for r in rows}, {ids[r]: last[r] for r in rows}, met)
+            laid = [xy[begin[row[i]] : begin[row[i] + 1]][:: -1 if back else 1] for i, back in way]
+            parts.append(laid[0] if n == 1 else np.concatenate([laid[0], *[p[1:] for p in laid[1:]]]))
+            endless.append(open_)
+        yield pa.RecordBatch.from_arrays([array(t.column("chain")).take(pa.array(starts)), pa.array(many), joined(parts), pa.array(endless)], names=["chain", "n_lines", "points", "endless"])
 
-    return chained.groupBy("chain").applyInArrow(run, f"chain long, n_lines long, points {POINTS}, endless boolean")
+    return worked(chained, ["chain"], run, f"chain long, n_lines long, points {POINTS}, endless boolean")

@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellplane.operators import chains, overlay, rings, spatial
+from cellplane.operators.grouped import coordinates, joined, offsets
 from cellplane.operators.outlines import POINT, convex_hull, signed_area
+from cellplane.operators.outlines import kept as staying
 from cellplane.operators.outlines import simplified as thinned
 from cellplane.operators.rings import corners as turns
 from cellplane.scratch import materialise
@@ -32,14 +34,6 @@ _SPANS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("hull", _POI
 _FIT = f"chain long, points {rings.POINTS}, endless boolean, tolerance double, line {rings.POINTS}, flat boolean, spans array<struct<a:int,b:int,hull:{rings.POINTS}>>"
 
 
-def _array(points: list[dict]) -> np.ndarray:
-    return np.array([(p["x"], p["y"]) for p in points]).reshape(-1, 2)
-
-
-def _dicts(points: np.ndarray) -> list[dict]:
-    return [{"x": x, "y": y} for x, y in points.tolist()]
-
-
 def _straightened(points: np.ndarray, endless: bool) -> np.ndarray:
     """An arc without points on straight lines, from its lesser end; an endless one from its least corner, the lesser neighbour next."""
     if endless:
@@ -49,9 +43,9 @@ def _straightened(points: np.ndarray, endless: bool) -> np.ndarray:
         if len(ring) < 3:
             return points
         points = np.concatenate([ring, ring[:1]])
-    back = points[::-1]
-    if tuple(map(tuple, back.tolist())) < tuple(map(tuple, points.tolist())):
-        points = back
+    way = points.tolist()
+    if way[::-1] < way:
+        points = points[::-1]
     return points if endless else thinned(points, STRAIGHT)
 
 
@@ -64,30 +58,30 @@ def _kept(points: np.ndarray, tolerance: float) -> np.ndarray:
         cuts.insert(1, int(np.argmax(np.hypot(*(points - points[0]).T))))
     keep = np.zeros(len(points), dtype=bool)
     for a, b in zip(cuts, cuts[1:], strict=False):
-        part = thinned(points[a : b + 1], tolerance)
-        at = a
-        for p in part.tolist():  # the points that stay, in order; those of an arc differ but for its ends
-            while points[at].tolist() != p:
-                at += 1
-            keep[at] = True
+        keep[a : b + 1] |= staying(points[a : b + 1], tolerance)
     return np.flatnonzero(keep)
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        lines, flat, spans = [], [], []
-        for row in b.column("points").to_pylist():
-            i = len(lines)
-            points, tolerance = _array(row), b.column("tolerance")[i].as_py()
+        xy, begin = coordinates(b.column("points"))
+        lines, flat, ends, hulls, many = [], [], [], [], []
+        for i, tolerance in enumerate(b.column("tolerance").to_pylist()):
+            points = xy[begin[i] : begin[i + 1]]
             keep = _kept(points, tolerance)
             gone = [(x, y) for x, y in zip(keep[:-1].tolist(), keep[1:].tolist(), strict=True) if y - x > 1]
             line = points[keep]
             closed = (line[0] == line[-1]).all()
             flat.append(bool(gone) and bool(closed) and (len(line) < 4 or abs(signed_area(line[:-1])) < 1e-9))
-            lines.append(_dicts(line))
-            spans.append([{"a": x, "b": y, "hull": _dicts(convex_hull(points[x : y + 1]))} for x, y in gone])
+            lines.append(line)
+            ends += gone
+            hulls += [convex_hull(points[x : y + 1]) for x, y in gone]
+            many.append(len(gone))
         same = [b.column(c) for c in ("chain", "points", "endless", "tolerance")]
-        yield pa.RecordBatch.from_arrays([*same, pa.array(lines, _POINTS), pa.array(flat, pa.bool_()), pa.array(spans, _SPANS)], names=["chain", "points", "endless", "tolerance", "line", "flat", "spans"])
+        at = np.array(ends, dtype=np.int64).reshape(-1, 2)
+        spans = pa.StructArray.from_arrays([pa.array(at[:, 0], pa.int32()), pa.array(at[:, 1], pa.int32()), joined(hulls).cast(_POINTS)], fields=list(_SPANS.value_type))
+        spans = pa.ListArray.from_arrays(pa.array(offsets(np.array(many, dtype=np.int64)), pa.int32()), spans)
+        yield pa.RecordBatch.from_arrays([*same, joined(lines), pa.array(flat, pa.bool_()), spans], names=["chain", "points", "endless", "tolerance", "line", "flat", "spans"])
 
 
 def arcs(shapes: DataFrame, side: float | None = None) -> DataFrame:
@@ -99,11 +93,12 @@ def arcs(shapes: DataFrame, side: float | None = None) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            made = [_dicts(_straightened(_array(p), e)) for p, e in zip(b.column("points").to_pylist(), b.column("endless").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("chain"), pa.array(made, _POINTS), b.column("endless")], names=["chain", "points", "endless"])
+            xy, begin = coordinates(b.column("points"))
+            made = [_straightened(xy[i:j], e) for i, j, e in zip(begin.tolist(), begin[1:].tolist(), b.column("endless").to_pylist(), strict=False)]
+            yield pa.RecordBatch.from_arrays([b.column("chain"), joined(made), b.column("endless")], names=["chain", "points", "endless"])
 
-    joined = chains.merged(pieces).select("chain", "points", "endless")
-    return materialise(joined.mapInArrow(run, f"chain long, points {rings.POINTS}, endless boolean"), "arcs")
+    chained = chains.merged(pieces).select("chain", "points", "endless")
+    return materialise(chained.mapInArrow(run, f"chain long, points {rings.POINTS}, endless boolean"), "arcs")
 
 
 def _spot(p: Column) -> Column:
@@ -123,11 +118,11 @@ def _held(hull: Column, x: Column, y: Column) -> Column:
 
 def _broken(fits: DataFrame, corners: DataFrame, side: float) -> DataFrame:
     """(chain) of the arcs that break a rule."""
-    own = fits.select("chain", "points", F.explode("spans").alias("s")).select("chain", F.col("s.hull").alias("hull"), F.slice("points", F.col("s.a") + 1, F.col("s.b") - F.col("s.a") + 1).alias("own"))
+    own = fits.select("chain", "points", F.explode("spans").alias("s")).select("chain", F.col("s.hull").alias("hull"), F.transform(F.slice("points", F.col("s.a") + 1, F.col("s.b") - F.col("s.a") + 1), _spot).alias("own"))
     own = spatial._squares(own.withColumn("__b", spatial.bounds(F.array("hull"))), "__b", side)
     inside = (F.col("x") >= F.col("__b.minx")) & (F.col("x") <= F.col("__b.maxx")) & (F.col("y") >= F.col("__b.miny")) & (F.col("y") <= F.col("__b.maxy"))
-    alien = ~F.array_contains(F.transform("own", _spot), F.col("spot"))
-    met = own.join(corners, ["__bx", "__by"]).filter(inside & _held(F.col("hull"), F.col("x"), F.col("y")) & alien).select("chain")
+    alien = ~F.array_contains("own", F.col("spot"))
+    met = own.join(corners, ["__bx", "__by"]).filter(inside & alien & _held(F.col("hull"), F.col("x"), F.col("y"))).select("chain")
     n = F.size("line")
     steps = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.array_sort(F.array(_spot(F.get("line", i)), _spot(F.get("line", i + 1)))))
     chords = fits.select("chain", (F.size("spans") > 0).alias("able"), F.explode(steps).alias("step"))
@@ -141,7 +136,7 @@ def fitted(lines: DataFrame, tolerance: float) -> DataFrame:
     size = fits.select(F.explode("spans.hull").alias("h")).select(spatial.bounds(F.array("h")).alias("b")).agg(F.avg(F.greatest(F.col("b.maxx") - F.col("b.minx"), F.col("b.maxy") - F.col("b.miny")))).first()[0]
     side = float(max(size or 1.0, tolerance))
     corners = lines.select(F.explode("points").alias("p")).select("p.x", "p.y", _spot(F.col("p")).alias("spot")).dropDuplicates(["spot"])
-    corners = materialise(corners.withColumns({"__bx": spatial._square(F.col("x"), side), "__by": spatial._square(F.col("y"), side)}), "arc-corners")
+    corners = materialise(spatial.dealt(corners).withColumns({"__bx": spatial._square(F.col("x"), side), "__by": spatial._square(F.col("y"), side)}), "arc-corners")
     while True:
         broken = materialise(_broken(fits, corners, side), "arcs-broken")
         if not broken.head(1):

@@ -19,23 +19,17 @@ from pyspark.sql import functions as F
 
 from cellplane.functions.grid import GridSpec
 from cellplane.operators import overlay, spatial
+from cellplane.operators.grouped import array, firsts, joined, lists, offsets, sizes, worked
 from cellplane.scratch import materialise
 
 #: Corners are told apart to a micrometre.
 FINE = 1e6
 POINTS = "array<struct<x:double,y:double>>"
-_POINT = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
-
-
-def _key(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    out = np.empty(len(x), dtype=[("x", np.int64), ("y", np.int64)])
-    out["x"], out["y"] = np.round(x * FINE), np.round(y * FINE)
-    return out
 
 
 def _following(end: np.ndarray, way_in: np.ndarray, start: np.ndarray, way_out: np.ndarray) -> np.ndarray:
-    """For each piece that ends at a corner, which of those that start there follows; -1 if none does."""
-    order = np.argsort(start, order=("x", "y"))
+    """For each piece that ends at a corner (a number), which of those that start there follows; -1 if none does."""
+    order = np.argsort(start, kind="stable")
     first, last = (np.searchsorted(start[order], end, side=s) for s in ("left", "right"))
     many = last - first
     inn = np.repeat(np.arange(len(end)), many)
@@ -52,11 +46,11 @@ def _following(end: np.ndarray, way_in: np.ndarray, start: np.ndarray, way_out:
 
 def corners(x: np.ndarray, y: np.ndarray, dx: np.ndarray, dy: np.ndarray) -> np.ndarray:
     """A ring's corners (n, 2) from the starts and directions of its pieces: what goes straight on is no corner, ways there and back go. The least (y, x) comes first."""
-    at = _key(x, y)
+    at = list(zip(np.round(x * FINE).tolist(), np.round(y * FINE).tolist(), strict=True))
     kept: list[int] = []  # pieces; one that goes back to where the piece before it began cancels that piece
     n, size = len(x), np.hypot(dx, dy)
     # The piece after i in the ring ends where piece i + 2 begins: ways there and back are pairs whose outer corners agree.
-    ends = np.roll(at, -1)
+    ends = at[1:] + at[:1]
     for i in range(n):
         if kept and ends[i] == at[kept[-1]]:
             kept.pop()
@@ -104,78 +98,82 @@ def stitched(pieces: DataFrame, by: str | list[str], side: float | None = None,
     fields = ["kind", "head", "tail", "x", "y", "dx", "dy"]
     schema = f"{keys}, kind int, head long, tail long, x array<double>, y array<double>, dx array<double>, dy array<double>"
 
-    def follow(key: tuple, t: pa.Table) -> pa.Table:
+    def follow(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Many tiles at once."""
         col = lambda c: t.column(c).to_numpy(zero_copy_only=False)
-        x, y, dx, dy, number, mine = col("x0"), col("y0"), col("dx"), col("dy"), col("id"), t.column("own").to_numpy(zero_copy_only=False).astype(bool)
-        end, start, way = _key(col("x1"), col("y1")), _key(x, y), np.stack([dx, dy], axis=1)
+        x, y, dx, dy, number, mine = col("x0"), col("y0"), col("dx"), col("dy"), col("id"), col("own").astype(bool)
+        n, group = len(x), np.repeat(np.arange(len(starts)), np.diff(np.append(starts, t.num_rows)))
+        ex, ey = np.round(col("x1") * FINE), np.round(col("y1") * FINE)
+        _, corner = firsts(np.stack([np.tile(group, 2), np.concatenate([np.round(x * FINE), ex]), np.concatenate([np.round(y * FINE), ey])], axis=1))
+        start, end, way = corner[:n], corner[n:], np.stack([dx, dy], axis=1)
         ours = np.flatnonzero(mine)
-        here = np.floor(end["x"] / FINE / side) == key[len(by)].as_py()
-        here &= np.floor(end["y"] / FINE / side) == key[len(by) + 1].as_py()
-        inn = np.flatnonzero(here)
-        to = np.full(len(x), -1, dtype=np.int64)
+        inn = np.flatnonzero((np.floor(ex / FINE / side) == col("tx")) & (np.floor(ey / FINE / side) == col("ty")))
+        to = np.full(n, -1, dtype=np.int64)
         found = _following(end[inn], way[inn], start[ours], way[ours])
-        to[inn] = np.where(found >= 0, ours[found], -1)
-        heads = np.ones(len(x), dtype=bool)
+        to[inn] = np.where(found >= 0, ours[found], -1) if len(ours) else -1
+        heads = mine.copy()
         heads[to[ours][to[ours] >= 0]] = False
-        heads &= mine
-        out: list[tuple] = []
-        step, seen = to.tolist(), np.zeros(len(x), dtype=bool)
-
-        def walk(at: int) -> list[int]:
-            way_: list[int] = []
-            while at >= 0 and not seen[at]:
-                seen[at] = True
-                way_.append(at)
-                at = step[at]
-            return way_
-
-        for at in np.flatnonzero(heads).tolist():
-            w = walk(at)
-            out.append((1, int(number[w[0]]), int(number[w[-1]]), *[v[w].tolist() for v in (x, y, dx, dy)]))
-        for at in ours.tolist():
-            if not seen[at]:
-                w = walk(at)
-                out.append((0, int(number[w[0]]), int(number[w[-1]]), *[v[w].tolist() for v in (x, y, dx, dy)]))
-        for at in np.flatnonzero(~mine & (to >= 0)).tolist():
-            out.append((2, int(number[at]), int(number[to[at]]), [], [], [], []))
-        return _table(key, by, t, fields, out)
+        step, seen, order, many, kinds_ = to.tolist(), bytearray(n), [], [], []
+        for kind, begin in ((1, np.flatnonzero(heads)), (0, ours)):
+            for at in begin.tolist():
+                if seen[at]:
+                    continue
+                before = len(order)
+                while at >= 0 and not seen[at]:
+                    seen[at] = 1
+                    order.append(at)
+                    at = step[at]
+                many.append(len(order) - before)
+                kinds_.append(kind)
+        order, many = np.array(order, dtype=np.int64), np.array(many, dtype=np.int64)
+        foreign = np.flatnonzero(~mine & (to >= 0))
+        begin = offsets(many)
+        head, tail = np.concatenate([order[begin[:-1]], foreign]), np.concatenate([order[begin[1:] - 1], to[foreign]])
+        kind = np.concatenate([np.array(kinds_, dtype=np.int64), np.full(len(foreign), 2)])
+        many = np.concatenate([many, np.zeros(len(foreign), dtype=np.int64)])
+        made = [array(t.column(c)).take(pa.array(head)) for c in by]
+        made += [pa.array(kind, pa.int32()), pa.array(number[head]), pa.array(number[tail]), *[lists(v[order], many) for v in (x, y, dx, dy)]]
+        yield pa.RecordBatch.from_arrays(made, names=[*by, *fields])
 
     parts = placed.select(*by, F.col("at.x").alias("tx"), F.col("at.y").alias("ty"), F.col("at.own").alias("own"), "id", "x0", "y0", "x1", "y1", "dx", "dy")
-    parts = materialise(parts.groupBy(*by, "tx", "ty").applyInArrow(follow, schema), "chains")
+    parts = materialise(worked(parts, [*by, "tx", "ty"], follow, schema), "chains")
     chains = parts.filter("kind = 1")
     next_ = chains.select("head", "tail").join(parts.filter("kind = 2").select(F.col("head").alias("tail"), F.col("tail").alias("next")), "tail").select(F.col("head").alias("v"), "next")
     ring = _least_on_cycle(next_)
     whole = chains.join(ring.select(F.col("v").alias("head"), "ring", "next"), "head")
 
-    def join(key: tuple, t: pa.Table) -> pa.Table:
+    def join(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The chains of many rings, each laid one behind the other from the ring's least chain."""
         at = {h: i for i, h in enumerate(t.column("head").to_pylist())}
-        to, row, order = t.column("next").to_pylist(), at[key[len(by)].as_py()], []
-        for _ in range(len(to)):
-            order.append(row)
-            row = at[to[row]]
-        own_ = t.take(pa.array(order))
-        made = [[v for part in own_.column(c).to_pylist() for v in part] for c in ("x", "y", "dx", "dy")]
-        return _table(key, by, t, fields, [(0, key[len(by)].as_py(), 0, *made)])
-
-    closed = parts.filter("kind = 0").unionByName(whole.groupBy(*by, "ring").applyInArrow(join, schema))
+        to, least, order = t.column("next").to_pylist(), t.column("ring").to_pylist(), []
+        many = np.diff(np.append(starts, t.num_rows))
+        for first, n in zip(starts.tolist(), many.tolist(), strict=True):
+            row = at[least[first]]
+            for _ in range(n):
+                order.append(row)
+                row = at[to[row]]
+        made = [array(t.column(c)).take(pa.array(starts)) for c in (*by, "ring")]
+        made[-1:] = [pa.array(np.zeros(len(starts)), pa.int32()), made[-1], pa.array(np.zeros(len(starts), dtype=np.int64))]
+        for c in ("x", "y", "dx", "dy"):
+            laid = array(t.column(c)).take(pa.array(order, pa.int64()))
+            made.append(lists(laid.flatten().to_numpy(zero_copy_only=False), np.add.reduceat(sizes(laid), starts)))
+        yield pa.RecordBatch.from_arrays(made, names=[*by, *fields])
+
+    closed = parts.filter("kind = 0").unionByName(worked(whole.select(*by, "ring", "head", "next", "x", "y", "dx", "dy"), [*by, "ring"], join, schema))
 
     def shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [corners(*[np.array(b.column(c)[i].as_py(), dtype=float) for c in ("x", "y", "dx", "dy")]) for i in range(b.num_rows)]
+            cols = [b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("x", "y", "dx", "dy")]
+            at = offsets(sizes(b.column("x"))).tolist()
+            rows = [corners(*[c[i:j] for c in cols]) for i, j in zip(at, at[1:], strict=False)]
             area = np.array([signed_area(r) if len(r) > 2 else 0.0 for r in rows])
             keep = np.flatnonzero(np.abs(area) > 1e-9)
-            points = pa.array([[{"x": px, "y": py} for px, py in rows[i].tolist()] for i in keep.tolist()], _POINT)
+            points = joined([rows[i] for i in keep.tolist()])
             yield pa.RecordBatch.from_arrays([*[b.column(c).take(pa.array(keep)) for c in by], points, pa.array(area[keep])], names=[*by, "points", "area"])
 
     return closed.mapInArrow(shape, f"{keys}, points {POINTS}, area double")
 
 
-def _table(key: tuple, by: list[str], t: pa.Table, fields: list[str], rows: list[tuple]) -> pa.Table:
-    kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.list_(pa.float64())] * 4]
-    same = [pa.array([k.as_py()] * len(rows), t.schema.field(b).type) for k, b in zip(key, by, strict=False)]
-    return pa.table([*same, *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], names=[*by, *fields])
-
-
 def _least_on_cycle(next_: DataFrame) -> DataFrame:
     """(v, next, ring): the least node of the cycle that v lies on. next_: v, next, a permutation."""
     next_ = materialise(next_, "next")
