@@ -75,6 +75,18 @@ def test_shapes_widened_by_themselves(spark):
     assert pieces.filter("g = 1").count() == 4 * 9
 
 
+def test_repeated_lines_are_counted_once(spark, monkeypatch):
+    """Boxes drawn over and over, either way round, add no face, and their lines are laid on tiles once."""
+    seen = []
+    tiled = overlay._tiled
+    monkeypatch.setattr(overlay, "_tiled", lambda edges, *rest: seen.append(edges.count()) or tiled(edges, *rest))
+    closed = [r + r[:1] for r in (ring(*b) for b in crowd(40))]
+    for copies in (1, 30):
+        df = spark.createDataFrame([(1, [r if i % 2 else r[::-1]]) for i in range(copies) for r in closed], SHAPES)
+        seen.append(overlay.face_counts(df, "g").first().faces)
+    assert seen[:2] == seen[2:]
+
+
 @pytest.mark.parametrize("rule", ["both", "only_first"])
 def test_rows_are_overlaid_by_themselves(spark, rule):
     """Areas and perimeters of each row's own shapes are those of a group of its own: regions with holes, crowded rings, rings that close, shapes apart, nothing there."""
