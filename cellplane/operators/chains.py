@@ -40,7 +40,7 @@ def merged(lines: DataFrame) -> DataFrame:
     """(chain, n_lines, points, endless) of lines (id, points), ids being different whole numbers: chain is the least id of the lines that are joined. Lines of fewer
     than two points have no part. A chain that closes where other lines end too begins and ends there; endless are closed chains that meet no other line."""
     own = materialise(lines.filter(F.size("points") > 1).select(F.col("id").cast("long").alias("id"), "points"), "lines")
-    spot = lambda p: F.struct(F.round(p["x"] * FINE).cast("long").alias("x"), F.round(p["y"] * FINE).cast("long").alias("y"))
+    spot = lambda p: F.struct(F.rint(p["x"] * FINE).cast("long").alias("x"), F.rint(p["y"] * FINE).cast("long").alias("y"))  # halves go to even, as in NumPy
     ends = own.select("id", F.explode(F.array(spot(F.get("points", 0)), spot(F.get("points", F.size("points") - 1)))).alias("at"))
     links = ends.groupBy("at").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("n = 2 and a <> b").select("a", "b", "at")
     links = materialise(links, "line-links")

@@ -102,7 +102,7 @@ def arcs(shapes: DataFrame, side: float | None = None) -> DataFrame:
 
 
 def _spot(p: Column) -> Column:
-    return F.struct(F.round(p["x"] * rings.FINE).cast("long").alias("x"), F.round(p["y"] * rings.FINE).cast("long").alias("y"))
+    return F.struct(F.rint(p["x"] * rings.FINE).cast("long").alias("x"), F.rint(p["y"] * rings.FINE).cast("long").alias("y"))
 
 
 def _held(hull: Column, x: Column, y: Column) -> Column:
@@ -161,7 +161,7 @@ def simplified(shapes: DataFrame, tolerance: float, side: float | None = None) -
     held = spatial.covering(beside, own.select(F.col("id").alias("poly"), "rings"), float(box or 1.0))
     ways = held.groupBy("id.chain", "poly").agg(F.sum("id.sign").alias("way")).filter("way <> 0")
     line = F.when(F.col("way") > 0, F.col("line")).otherwise(F.reverse("line"))
-    steps = ways.join(fits.select("chain", "line"), "chain").select("poly", line.alias("line"))
+    steps = ways.join(fits.select("chain", "line").hint("merge"), "chain").select("poly", line.alias("line"))
     steps = steps.select("poly", F.explode(F.transform(F.sequence(F.lit(0), F.size("line") - 2), lambda i: F.struct(F.get("line", i).alias("p"), F.get("line", i + 1).alias("q")))).alias("s"))
     pieces = steps.select("poly", F.col("s.p.x").alias("x0"), F.col("s.p.y").alias("y0"), F.col("s.q.x").alias("x1"), F.col("s.q.y").alias("y1"))
     pieces = pieces.withColumns({"dx": F.col("x1") - F.col("x0"), "dy": F.col("y1") - F.col("y0")})

@@ -87,3 +87,24 @@ def test_random_faces_stay_a_coverage(spark):
 
 def test_empty(spark):
     assert coverage.simplified(spark.createDataFrame([], SHAPES), 8.0).count() == 0
+
+
+def test_halves_of_a_micrometre(spark):
+    """Joints half way between two micrometres are told apart alike in plans and in NumPy: the chain is whole, and so is a ring."""
+    y = 2.5e-6
+    rows = [(1, [(1.0, y), (0.0, 5.0)]), (2, [(1.0, y), (2.0, 0.0)]), (3, [(2.0, 0.0), (3.0, 1.0)])]
+    found = chains.merged(spark.createDataFrame(rows, "id long, points array<struct<x:double,y:double>>")).collect()
+    assert [(r.chain, r.n_lines, len(r.points)) for r in found] == [(1, 3, 4)]
+    ring = [(0.5 - y, 0.0), (1.0, 0.0), (1.0, 1.0), (0.5 - y, 1.0)]
+    steps = [(1, *p, *q, q[0] - p[0], q[1] - p[1]) for p, q in zip(ring, ring[1:] + ring[:1], strict=True)]
+    pieces = spark.createDataFrame(steps, "g long, x0 double, y0 double, x1 double, y1 double, dx double, dy double")
+    assert [round(r.area, 3) for r in rings.stitched(pieces, "g", 0.5).collect()] == [0.5]
+
+
+def test_edges_both_ways_meet_a_line_alike():
+    """A shared edge comes once each way round; tiles may keep either."""
+    rng = np.random.default_rng(5)
+    e = rng.uniform(0, 1e6, (1000, 4)).round(2)
+    for axis in (0, 1):
+        line = (e[:, axis] + e[:, 2 + axis]) / 3 + 0.1
+        assert (overlay._cross(e, line, axis) == overlay._cross(e[:, [2, 3, 0, 1]], line, axis)).all()
